@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from repoquarry.functions import text as tx
 from repoquarry.functions.paths import forward_slashes
 from repoquarry.schemas import BPE_MERGES_SCHEMA, BPE_VOCAB_SCHEMA
-from repoquarry.session import drop_table, materialize
+from repoquarry.session import drop_table, materialize, spread
 
 # Special tokens (ids 0-4), largest vocabulary and rarest pair that is merged.
 SPECIAL_TOKENS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
@@ -33,7 +33,6 @@ _SEPARATOR = "\x01"
 _FIRST_MERGED = 0x1000
 _RUN_LIMIT = 50_000
 _MAX_CANDIDATES = 4_096
-_PENDING_LIMIT = 256
 _CACHED_PIECES = 500_000
 
 
@@ -167,15 +166,32 @@ def _symbol(number: int) -> str:
     return chr(code if code < 0xD800 else code + 0x800)
 
 
-def _apply(piece: Column, merges: Sequence[tuple[str, str]]) -> Column:
-    if not merges:
-        return piece
-    steps = F.split(F.lit(_SEPARATOR.join(pair + new for pair, new in merges)), _SEPARATOR)
-    return F.aggregate(
-        steps,
-        piece,
-        lambda s, m: F.replace(s, F.substring(m, 1, 2), F.substring(m, 3, 1)),
-    )
+def _merged(piece: str, merges: dict[str, tuple[int, str]]) -> str:
+    """A piece after a list of merges (pair -> order, new symbol), each applied once, in order."""
+    done = -1
+    while len(piece) > 1:
+        due = min(
+            (merges[pair] for i in range(len(piece) - 1) if (pair := piece[i : i + 2]) in merges
+             and merges[pair][0] > done),
+            default=None,
+        )
+        if due is None:
+            break
+        done, new = due
+        pair = next(p for i in range(len(piece) - 1) if merges.get(p := piece[i : i + 2]) == due)
+        piece = piece.replace(pair, new)
+    return piece
+
+
+def apply_merges(pieces: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rewrite counted pieces with the merges of one round; pieces of one symbol are done and leave."""
+    table = {pair: (order, new) for order, (pair, new) in enumerate(merges)}
+
+    @F.arrow_udf("string")
+    def rewrite(column: pa.Array) -> pa.Array:
+        return pa.array([_merged(piece, table) for piece in column.to_pylist()], pa.string())
+
+    return pieces.select(rewrite(F.col("piece")).alias("piece"), "n").filter(F.length("piece") > 1)
 
 
 def _adjacent(symbols: Column) -> Column:
@@ -186,25 +202,31 @@ def _adjacent(symbols: Column) -> Column:
 def pair_counts(pieces: DataFrame) -> DataFrame:
     """(pair, n): neighbouring symbols, weighted by how often their piece occurs."""
     symbols = F.split("piece", "")
-    pairs = pieces.filter(F.length("piece") > 1).select(F.explode(_adjacent(symbols)).alias("pair"), "n")
+    pairs = pieces.select(F.explode(_adjacent(symbols)).alias("pair"), "n")
     return pairs.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def _runs(pieces: DataFrame, candidates: Sequence[str]) -> DataFrame:
-    """(run, n): stretches of pieces in which all neighbours are candidate pairs."""
-    symbols = F.split("piece", "")
-    last = F.size(symbols) - 1
-    joined = F.zip_with(
-        F.slice(symbols, 1, last),
-        F.slice(symbols, 2, last),
-        lambda a, b: F.when(F.concat(a, b).isin(list(candidates)), b).otherwise(
-            F.concat(F.lit(_SEPARATOR), b)
-        ),
-    )
-    marked = F.concat(F.get(symbols, F.lit(0)), F.array_join(joined, ""))
-    runs = F.filter(F.split(marked, _SEPARATOR), lambda r: F.length(r) > 1)
-    opened = pieces.filter(F.length("piece") > 1).select(F.explode(runs).alias("run"), "n")
-    return opened.groupBy("run").agg(F.sum("n").alias("n"))
+def _cut(piece: str, candidates: set[str]) -> list[str]:
+    """Longest stretches of a piece in which all neighbours are candidate pairs."""
+    runs, start = [], 0
+    for i in range(1, len(piece) + 1):
+        if i == len(piece) or piece[i - 1 : i + 1] not in candidates:
+            if i - start > 1:
+                runs.append(piece[start:i])
+            start = i
+    return runs
+
+
+def run_counts(pieces: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """(run, n): counted stretches made of candidate pairs only."""
+    wanted = set(candidates)
+
+    @F.arrow_udf("array<string>")
+    def cut(column: pa.Array) -> pa.Array:
+        return pa.array([_cut(piece, wanted) for piece in column.to_pylist()], pa.list_(pa.string()))
+
+    runs = pieces.select(F.explode(cut(F.col("piece"))).alias("run"), "n")
+    return runs.groupBy("run").agg(F.sum("n").alias("n"))
 
 
 class _RunTable:
@@ -270,7 +292,7 @@ def train(
     is asked for again with fewer pairs.
     """
     spark = texts.sparkSession
-    table, path = materialize(byte_level_pieces(piece_counts(texts)), "pieces")
+    table, path = materialize(spread(byte_level_pieces(piece_counts(texts))), "pieces")
     # at most 256 rows: byte symbols
     used = [r[0] for r in table.select(F.explode(F.split("piece", ""))).distinct().collect()]
     alphabet = sorted(c for c in used if c)
@@ -281,19 +303,13 @@ def train(
     for c in alphabet:
         vocab.setdefault(c, len(vocab))
     merges: list[tuple[str, str]] = []
-    pending: list[tuple[str, str]] = []
     created = 0
     candidates = 256
+    table = table.filter(F.length("piece") > 1)
 
     while len(vocab) < vocabulary_size:
-        current = table.select(_apply(F.col("piece"), pending).alias("piece"), "n")
-        if len(pending) >= _PENDING_LIMIT:
-            old = path
-            table, path = materialize(current.filter(F.length("piece") > 1), "pieces")
-            drop_table(spark, old)
-            current, pending = table, []
         fetched = (
-            pair_counts(current)
+            pair_counts(table)
             .filter(F.col("n") >= min_frequency)
             .orderBy(F.desc("n"), F.asc("pair"))
             .limit(candidates + 1)
@@ -301,9 +317,9 @@ def train(
         )
         if not fetched:
             break
-        runs, known, end = _fetch_runs(current, fetched, candidates)
+        runs, known, end = _fetch_runs(table, fetched, candidates)
         simulated = _RunTable(runs)
-        before = len(merges)
+        step: list[tuple[str, str]] = []
         while len(vocab) < vocabulary_size:
             best = simulated.best()
             if best is None or best[0] < min_frequency:
@@ -320,12 +336,15 @@ def train(
                 spelled[symbol_of[token]] = token
                 vocab[token] = len(vocab)
                 created += 1
-            pending.append((pair, symbol_of[token]))
+            step.append((pair, symbol_of[token]))
             simulated.merge(pair, symbol_of[token])
             if repeated:
                 break
-        if len(merges) == before:
+        if not step:
             break
+        old = path
+        table, path = materialize(apply_merges(table, step), "pieces")
+        drop_table(spark, old)
         candidates = _next_candidates(candidates, known, len(runs))
     drop_table(spark, path)
     return BpeModel(vocab, merges)
@@ -337,7 +356,7 @@ def _fetch_runs(pieces: DataFrame, fetched: list, candidates: int):
     while True:
         pairs = [r["pair"] for r in fetched[:known]]
         end = (-fetched[known]["n"], fetched[known]["pair"]) if known < len(fetched) else None
-        rows = _runs(pieces, pairs).limit(_RUN_LIMIT + 1).collect()
+        rows = run_counts(pieces, pairs).limit(_RUN_LIMIT + 1).collect()
         if len(rows) <= _RUN_LIMIT:
             return [(r["run"], r["n"]) for r in rows], known, end
         if known == 1:

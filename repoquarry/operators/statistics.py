@@ -168,3 +168,9 @@ def hotspots(combined: DataFrame, n: int = 10) -> DataFrame:
     """Most frequently changed files of all repositories."""
     rows = combined.select("repository", "file_path", "change_count")
     return top_n(rows, [F.desc("change_count"), F.asc("repository"), F.asc("file_path")], n)
+
+
+def largest(combined: DataFrame, n: int = 10) -> DataFrame:
+    """Largest files of all repositories."""
+    rows = combined.select("repository", "file_path", "loc")
+    return top_n(rows, [F.desc("loc"), F.asc("repository"), F.asc("file_path")], n)
