@@ -58,15 +58,6 @@ def line_count(text: Column) -> Column:
     return (feeds + F.when(open_line, 1).otherwise(0)).cast("bigint")
 
 
-def line_count_of_bytes(content: Column) -> Column:
-    """The same for raw file content of any encoding."""
-    return line_count(F.decode(content, "ISO-8859-1"))
-
-
-def inside_git_folder(path: Column) -> Column:
-    return F.array_contains(F.split(path, "/"), ".git")
-
-
 def parent_folders(path: Column) -> Column:
     """Every folder above a relative path: a/b/c.py -> [a, a/b]."""
     parts = F.split(path, "/")

@@ -63,13 +63,22 @@ def folder_counts(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return with_ancestors.groupBy(*keys).agg(F.count(F.lit(1)).alias("directories"))
 
 
-def tree_totals(files: DataFrame, metrics: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Files, source files, folders, lines and average lines per source file, 0 where there is none."""
+def tree_totals(
+    files: DataFrame, metrics: DataFrame, keys: Sequence[str] = KEYS, folders: DataFrame | None = None
+) -> DataFrame:
+    """Files, source files, folders, lines and average lines per source file, 0 where there is none.
+
+    ``folders`` lists the folders themselves, empty ones too; without it they follow from the files.
+    """
+    if folders is None:
+        directories = folder_counts(files, keys)
+    else:
+        directories = folders.groupBy(*keys).agg(F.count(F.lit(1)).alias("directories"))
     all_files = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_files"))
     sources = metrics.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("source_code_files"), F.sum("loc").alias("total_loc")
     )
-    joined = all_files.join(sources, list(keys), "left").join(folder_counts(files, keys), list(keys), "left")
+    joined = all_files.join(sources, list(keys), "left").join(directories, list(keys), "left")
     zero = F.lit(0).cast("bigint")
     filled = joined.select(
         *keys,

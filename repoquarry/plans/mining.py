@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from repoquarry.operators import files as fo
 from repoquarry.operators import history as ho
 from repoquarry.operators.report import report_rows
+from repoquarry.session import materialize
 from repoquarry.sources import commit_log, tree
 
 
@@ -16,11 +17,13 @@ def mine(
     commits: DataFrame,
     recent: DataFrame,
     changes: DataFrame,
+    folders: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Metrics of every repository at once.
 
     ``listing`` has all files, ``sources`` the measured source files, ``commits`` the commits of all
     refs, ``recent`` the commit window of the current branch and ``changes`` its changed files.
+    ``folders`` lists folders where the export knows them.
     """
     metrics = fo.file_metrics(sources)
     counts = ho.change_counts(changes)
@@ -29,7 +32,7 @@ def mine(
         "history_metrics": counts,
         "extension_counts": fo.extension_counts(listing),
         "language_counts": fo.language_counts(metrics),
-        "tree_totals": fo.tree_totals(listing, metrics),
+        "tree_totals": fo.tree_totals(listing, metrics, folders=folders),
         "largest_files": fo.largest_files(metrics),
         "contributors": ho.contributors(commits),
         "commit_totals": ho.commit_totals(commits),
@@ -55,10 +58,14 @@ def mine_folders(
 ) -> dict[str, DataFrame]:
     """The same from exports: <trees>/<repository>/..., and log files one folder per repository."""
     recent = ho.latest_commits(commit_log.read_changes(spark, change_logs), window)
+    entries = tree.scan(spark, trees)
+    listing = tree.files_of(entries)
+    sources, _ = materialize(tree.measure_sources(listing, trees), "sources")
     return mine(
-        tree.list_files(spark, trees),
-        tree.read_sources(spark, trees),
+        listing,
+        sources,
         commit_log.read_commits(spark, commit_logs),
         recent.drop("changes"),
         ho.change_rows(recent),
+        tree.folders_of(entries),
     )

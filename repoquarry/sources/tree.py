@@ -1,65 +1,116 @@
-"""File trees laid out as <root>/<repository>/<path>."""
+"""File trees laid out as <root>/<repository>/<path>.
+
+Spark's own file sources leave out names that begin with '_' or '.' and files without content, all of
+which belong to a repository. Trees are therefore listed folder by folder: each round is a job whose
+tasks open the folders found by the round before, so listing is shared out like any other data.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+from functools import reduce
 
-from repoquarry.functions import paths
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from repoquarry.operators.files import describe_files
+from repoquarry.session import materialize
 
-def _relative(spark: SparkSession, root: str) -> Column:
-    """Path below the root; the reader reports absolute addresses with a scheme."""
-    jvm = spark._jvm
-    root_path = jvm.org.apache.hadoop.fs.Path(root)
-    file_system = root_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    address = file_system.makeQualified(root_path).toUri().getPath()
-    plain = F.regexp_replace(F.col("path"), r"^[a-zA-Z0-9]+:(//[^/]*)?", "")
-    return F.substring(plain, F.lit(len(address.rstrip("/")) + 2), F.length(plain))
+_ENTRY_SCHEMA = "path STRING, is_folder BOOLEAN, size_bytes BIGINT"
+_CHUNK = 1 << 20
 
 
-def _split_repository(df: DataFrame) -> DataFrame:
-    return (
-        df.filter(F.col("_relative").contains("/"))
-        .withColumn("repository", F.substring_index("_relative", "/", 1))
-        .withColumn("file_path", paths.forward_slashes(F.regexp_replace("_relative", r"^[^/]*/", "")))
-        .filter(~paths.inside_git_folder(F.col("file_path")))
-        .drop("_relative", "path")
-    )
+def _open(root: str) -> tuple[pafs.FileSystem, str]:
+    file_system, base = pafs.FileSystem.from_uri(root)
+    return file_system, base.rstrip("/")
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(repository, file_path, size_bytes) of all files outside .git; contents are not opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return _split_repository(
-        files.select("path", F.col("length").alias("size_bytes")).withColumn(
-            "_relative", _relative(spark, root)
-        )
-    ).select("repository", "file_path", "size_bytes")
+def _list_folders(root: str):
+    """Entries of folders given relative to the root; nothing below .git is listed."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file_system, base = _open(root)
+        for batch in batches:
+            rows = []
+            for folder in batch.column("path").to_pylist():
+                address = f"{base}/{folder}" if folder else base
+                for entry in file_system.get_file_info(pafs.FileSelector(address)):
+                    if entry.base_name == ".git":
+                        continue
+                    is_folder = entry.type == pafs.FileType.Directory
+                    size = 0 if is_folder else entry.size
+                    rows.append((entry.path[len(base) + 1 :], is_folder, size))
+            paths, folders, sizes = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(paths, pa.string()),
+                    pa.array(folders, pa.bool_()),
+                    pa.array(sizes, pa.int64()),
+                ],
+                names=["path", "is_folder", "size_bytes"],
+            )
 
-def _any_case(suffix: str) -> str:
-    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in suffix)
+    return run
 
 
-def read_sources(spark: SparkSession, root: str) -> DataFrame:
-    """(repository, file_path, size_bytes, loc) of source files.
+def scan(spark: SparkSession, root: str) -> DataFrame:
+    """(repository, file_path, is_folder, size_bytes) of everything below the repositories' folders.
 
-    The name filter keeps the reader from opening anything but source files, and only line
-    counts leave the scan.
+    Runs one job per folder depth; levels are kept in the shared folder.
     """
-    names = ",".join("*" + _any_case(s) for s in paths.LANGUAGE_BY_EXTENSION)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "{" + names + "}")
-        .load(root)
-    )
-    counted = files.select(
-        "path",
-        F.col("length").alias("size_bytes"),
-        paths.line_count_of_bytes(F.col("content")).alias("loc"),
-    )
-    return _split_repository(counted.withColumn("_relative", _relative(spark, root))).select(
-        "repository", "file_path", "size_bytes", "loc"
+    tasks = spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([("",)], "path STRING")
+    levels = []
+    while True:
+        found = folders.repartition(tasks).mapInArrow(_list_folders(root), _ENTRY_SCHEMA)
+        level, _ = materialize(found, "tree")
+        levels.append(level)
+        folders = level.filter("is_folder").select("path")
+        if not folders.limit(1).collect():
+            break
+    entries = reduce(DataFrame.unionByName, levels).filter(F.col("path").contains("/"))
+    return entries.select(
+        F.substring_index("path", "/", 1).alias("repository"),
+        F.regexp_replace("path", r"^[^/]*/", "").alias("file_path"),
+        "is_folder",
+        "size_bytes",
     )
+
+
+def files_of(entries: DataFrame) -> DataFrame:
+    return entries.filter(~F.col("is_folder")).drop("is_folder")
+
+
+def folders_of(entries: DataFrame) -> DataFrame:
+    return entries.filter("is_folder").select("repository", F.col("file_path").alias("folder"))
+
+
+def _count_lines(file_system: pafs.FileSystem, address: str) -> int:
+    """Line feeds, plus one for an open last line; 0 for a file that cannot be read."""
+    lines, last = 0, b"\n"
+    try:
+        with file_system.open_input_stream(address) as stream:
+            while chunk := stream.read(_CHUNK):
+                lines += chunk.count(b"\n")
+                last = chunk[-1:]
+    except OSError:
+        return 0
+    return lines + (last != b"\n")
+
+
+def measure_sources(files: DataFrame, root: str) -> DataFrame:
+    """(repository, file_path, size_bytes, loc) of source files, read in chunks by the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file_system, base = _open(root)
+        for batch in batches:
+            where = zip(batch.column("repository").to_pylist(), batch.column("file_path").to_pylist())
+            counts = [_count_lines(file_system, f"{base}/{repo}/{path}") for repo, path in where]
+            yield batch.append_column("loc", pa.array(counts, pa.int64()))
+
+    sources = describe_files(files).filter(F.col("language").isNotNull())
+    tasks = files.sparkSession.sparkContext.defaultParallelism * 4
+    dealt = sources.select("repository", "file_path", "size_bytes").repartition(tasks)
+    return dealt.mapInArrow(run, "repository STRING, file_path STRING, size_bytes BIGINT, loc BIGINT")
