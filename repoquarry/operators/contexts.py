@@ -6,16 +6,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repoquarry.functions.arrays import open_array
+from repoquarry.functions.text import PYTHON_SPACE
 from repoquarry.functions.vectors import l2_normalize
 from repoquarry.operators.token_vectors import VECTOR_SIZE, hash_vector
 
 # Fixed value: neighbours taken on either side.
 CONTEXT_WINDOW = 2
 
-_CACHED_VECTORS = 20_000
+_CACHED_VECTORS = 1 << 16
 
 
 def _found(tokens: str, selected: Sequence[str], window: int) -> Column:
@@ -46,7 +49,8 @@ def token_contexts(
     window: int = CONTEXT_WINDOW,
 ) -> DataFrame:
     """One row per occurrence of a selected token with its neighbours, clipped at the sequence ends."""
-    return sequences.select(*keep, F.explode(_found(tokens, selected, window)).alias("c")).select(*keep, "c.*")
+    found = _found(tokens, selected, window)
+    return open_array(sequences, found, "c", keep).select(*keep, "c.*")
 
 
 def context_text(contexts: DataFrame) -> DataFrame:
@@ -63,6 +67,71 @@ def require_contexts(contexts: DataFrame) -> DataFrame:
     return contexts
 
 
+class _RoleVectors:
+    """Hashed vectors of tokens under their roles, remembered up to a fixed number."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.known: dict[str, np.ndarray] = {}
+
+    def _vector(self, key: str) -> np.ndarray:
+        vector = self.known.get(key)
+        if vector is None:
+            if len(self.known) >= _CACHED_VECTORS:
+                self.known.clear()
+            vector = self.known[key] = hash_vector(key, self.size)
+        return vector
+
+    def rows(self, role: str, tokens: pa.Array) -> np.ndarray:
+        """One vector per token; each different token of the batch is looked up once."""
+        coded = tokens.dictionary_encode()
+        table = [self._vector(f"{role}::{t}") for t in coded.dictionary.to_pylist()]
+        return np.array(table).reshape(-1, self.size)[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def sums(self, role: str, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of the vectors of each list, and the lists' lengths."""
+        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        vectors = self.rows(role, lists.flatten())
+        first = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+        total = np.zeros((len(lengths), self.size))
+        for k in range(lengths.max(initial=0)):
+            longer = lengths > k
+            total[longer] += vectors[first[longer] + k]
+        return total, lengths
+
+
+def _partial_sums(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roles = _RoleVectors(size)
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, n_left = roles.sums("LEFT", batch.column("left"))
+            right, n_right = roles.sums("RIGHT", batch.column("right"))
+            center = batch.column("token")
+            vectors = (roles.rows("CENTER", center) + left + right) / (1 + n_left + n_right)[:, None]
+            vectors *= (batch.column("n").to_numpy() / np.linalg.norm(vectors, axis=1))[:, None]
+            coded = center.dictionary_encode()
+            which = coded.indices.to_numpy(zero_copy_only=False)
+            for i, token in enumerate(coded.dictionary.to_pylist()):
+                sums.setdefault(token, np.zeros(size))
+                sums[token] += vectors[which == i].sum(axis=0)
+        if sums:
+            yield pa.RecordBatch.from_pydict(
+                {"token": pa.array(list(sums)), "part": pa.array([v.tolist() for v in sums.values()])}
+            )
+
+    return run
+
+
+def _separate(neighbours: str) -> Column:
+    """Neighbours travel as space-joined text, so whitespace inside a token separates."""
+    blank = F.exists(neighbours, lambda t: (t == "") | t.rlike(f"[{PYTHON_SPACE}]"))
+    parts = F.filter(F.split(F.concat_ws(" ", neighbours), f"[{PYTHON_SPACE}]+"), lambda t: t != "")
+    return F.when(blank, parts).otherwise(F.col(neighbours))
+
+
 def structural_vectors(selected: DataFrame, contexts: DataFrame, size: int = VECTOR_SIZE) -> DataFrame:
     """Unit mean of the context vectors of each selected token, the zero vector without any context.
 
@@ -71,37 +140,8 @@ def structural_vectors(selected: DataFrame, contexts: DataFrame, size: int = VEC
     one partial sum per token, so a token with very many occurrences does not fill one task.
     """
     counted = contexts.groupBy("token", "left", "right").agg(F.count(F.lit(1)).alias("n"))
-
-    def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, np.ndarray] = {}
-
-        def role_vector(role: str, token: str) -> np.ndarray:
-            key = f"{role}::{token}"
-            if key not in cache:
-                if len(cache) >= _CACHED_VECTORS:
-                    cache.clear()
-                cache[key] = hash_vector(key, size)
-            return cache[key]
-
-        sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                parts = [role_vector("CENTER", row["token"])]
-                # neighbours travel as space-joined text, so whitespace inside a token separates
-                parts += [role_vector("LEFT", t) for t in " ".join(row["left"]).split()]
-                parts += [role_vector("RIGHT", t) for t in " ".join(row["right"]).split()]
-                vector = np.mean(parts, axis=0)
-                length = np.linalg.norm(vector)
-                if length > 0:
-                    vector = vector / length
-                total = sums.setdefault(row["token"], np.zeros(size))
-                total += row["n"] * vector
-        if sums:
-            yield pa.RecordBatch.from_pydict(
-                {"token": pa.array(list(sums)), "part": pa.array([v.tolist() for v in sums.values()])}
-            )
-
-    parts = counted.mapInArrow(partial_sums, "token STRING, part ARRAY<DOUBLE>")
+    texts = counted.select("token", _separate("left").alias("left"), _separate("right").alias("right"), "n")
+    parts = texts.mapInArrow(_partial_sums(size), "token STRING, part ARRAY<DOUBLE>")
     slots = parts.select("token", F.posexplode("part").alias("slot", "value"))
     sums = slots.groupBy("token", "slot").agg(F.sum("value").alias("value"))
     ordered = F.array_sort(F.collect_list(F.struct("slot", "value")))

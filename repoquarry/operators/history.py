@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repoquarry.functions.arrays import open_array
 from repoquarry.functions.numbers import digits_only, ratio
 from repoquarry.functions.text import strip
 from repoquarry.operators.ranking import first_n_per_key, top_n
@@ -57,7 +58,7 @@ def latest_commits(
 
 def change_rows(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per changed file of commits that carry their changes as an array."""
-    exploded = commits.select(*keys, "commit_hash", F.explode("changes").alias("c"))
+    exploded = open_array(commits, F.col("changes"), "c", [*keys, "commit_hash"])
     return exploded.select(*keys, "commit_hash", "c.additions", "c.deletions", "c.file_path")
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repoquarry.functions.numbers import numeric, whole
+from repoquarry.functions.numbers import whole_not_negative
 from repoquarry.functions.paths import forward_slashes
 from repoquarry.functions.text import strip
 from repoquarry.operators.ranking import first_n_per_key
@@ -48,9 +48,8 @@ def _keys(df: DataFrame) -> DataFrame:
 
 def _measures(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Whole non-negative numbers; rows with anything else are dropped."""
-    for name in names:
-        df = df.filter(numeric(F.col(name)) >= 0).withColumn(name, whole(F.col(name)))
-    return df
+    read = df.withColumns({name: whole_not_negative(F.col(name)) for name in names})
+    return read.dropna(subset=list(names))
 
 
 def clean_source(df: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:

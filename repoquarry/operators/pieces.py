@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repoquarry.functions import text as tx
+from repoquarry.functions.arrays import open_array
 from repoquarry.functions.paths import forward_slashes
 from repoquarry.schemas import BPE_MERGES_SCHEMA, BPE_VOCAB_SCHEMA
 from repoquarry.session import drop_table, materialize, spread
@@ -148,7 +149,7 @@ def load_model(spark: SparkSession, path: str) -> BpeModel:
 
 def piece_counts(texts: DataFrame) -> DataFrame:
     """(piece, n) over all texts."""
-    raw = texts.select(F.explode(tx.text_pieces(F.col("text"))).alias("piece"))
+    raw = open_array(texts, tx.text_pieces(F.col("text")), "piece")
     return raw.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -202,7 +203,7 @@ def _adjacent(symbols: Column) -> Column:
 def pair_counts(pieces: DataFrame) -> DataFrame:
     """(pair, n): neighbouring symbols, weighted by how often their piece occurs."""
     symbols = F.split("piece", "")
-    pairs = pieces.select(F.explode(_adjacent(symbols)).alias("pair"), "n")
+    pairs = open_array(pieces, _adjacent(symbols), "pair", ["n"])
     return pairs.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -225,7 +226,7 @@ def run_counts(pieces: DataFrame, candidates: Sequence[str]) -> DataFrame:
     def cut(column: pa.Array) -> pa.Array:
         return pa.array([_cut(piece, wanted) for piece in column.to_pylist()], pa.list_(pa.string()))
 
-    runs = pieces.select(F.explode(cut(F.col("piece"))).alias("run"), "n")
+    runs = open_array(pieces, cut(F.col("piece")), "run", ["n"])
     return runs.groupBy("run").agg(F.sum("n").alias("n"))
 
 
@@ -403,5 +404,5 @@ def token_frequency(counted_pieces: DataFrame, model: BpeModel) -> DataFrame:
     def encode(pieces: pa.Array) -> pa.Array:
         return shared.value.encode_batch(pieces)
 
-    rows = counted_pieces.select(F.explode(encode(F.array("piece"))).alias("token"), "n")
+    rows = open_array(counted_pieces, encode(F.array("piece")), "token", ["n"])
     return rows.groupBy("token").agg(F.sum("n").alias("frequency"))

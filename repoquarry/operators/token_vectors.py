@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repoquarry.functions import vectors as vx
+from repoquarry.functions.arrays import open_places
 
 VECTOR_SIZE = 128
 # Weights of the mean, spread, first and last position in a position vector.
@@ -101,7 +102,7 @@ def position_features(selected: DataFrame, sequences: DataFrame, tokens: str = "
     Positions are met with the broadcast selection right after the arrays are opened, and partial
     averages are made before the shuffle. Tokens never met get 0.5 and no spread.
     """
-    opened = sequences.select(F.size(tokens).alias("n"), F.posexplode(tokens).alias("pos", "token"))
+    opened = open_places(sequences, F.col(tokens), "token")
     wanted = F.broadcast(selected.select("token"))
     place = F.when(F.col("n") == 1, F.lit(0.5)).otherwise(
         F.col("pos") / F.greatest(F.col("n") - 1, F.lit(1))

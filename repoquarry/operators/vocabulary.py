@@ -86,10 +86,9 @@ def character_profile(texts: DataFrame) -> DataFrame:
 
 def token_profile(sequences: DataFrame, tokens: Column | str = "tokens") -> DataFrame:
     """Profile of an ARRAY<STRING> column. An empty sequence is one row without a token."""
-    arrays = sequences.select(F.col(tokens).alias("tokens") if isinstance(tokens, str) else tokens.alias("tokens"))
-    rows = arrays.select(
-        F.size("tokens").cast("bigint").alias("n"), F.posexplode_outer("tokens").alias("pos", "token")
-    )
+    array = F.col(tokens) if isinstance(tokens, str) else tokens
+    sized = sequences.select(array.alias("tokens")).withColumn("n", F.size("tokens").cast("bigint"))
+    rows = sized.select("n", F.posexplode_outer("tokens").alias("pos", "token"))
     first = F.col("pos").isNull() | (F.col("pos") == 0)
     one = F.lit(1).cast("bigint")
     length = F.when(first, F.col("n"))

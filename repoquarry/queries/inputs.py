@@ -55,6 +55,7 @@ def commit_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
         _pick(["+00:00", "-05:00", "+09:00"], F.col("o_orderkey")),
     )
+    orders = spread(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
     return orders.select(
         F.col("o_orderpriority").alias("repository"),
         F.struct((-day).cast("bigint").alias("block"), F.col("o_orderkey").alias("row")).alias("seq"),
@@ -70,7 +71,7 @@ def commits(spark: SparkSession, sf: str) -> DataFrame:
 
 def all_changes(spark: SparkSession, sf: str) -> DataFrame:
     """(commit_hash, additions, deletions, file_path); line number 7 stands for binary files."""
-    line = table(spark, sf, "lineitem")
+    line = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
     return line.select(
         F.col("l_orderkey").cast("string").alias("commit_hash"),
         F.when(F.col("l_linenumber") == 7, "-")
@@ -101,7 +102,11 @@ def snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 def untidy_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as source rows with many copies of each key and numbers that are none."""
-    line = table(spark, sf, "lineitem")
+    line = spread(
+        table(spark, sf, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
+        )
+    )
     n = F.col("l_linenumber")
     quantity = F.col("l_quantity").cast("int").cast("string")
     return line.select(

@@ -80,6 +80,9 @@ def test_structural_vectors(spark, sequences, selected):
                     found.append(unit(np.mean(parts, axis=0)))
         return unit(np.mean(found, axis=0)) if found else np.zeros(128)
 
+    spaced = spark.createDataFrame([("a", ["x y", " "], ["", "z\t"])], "token STRING, left ARRAY<STRING>, right ARRAY<STRING>")
+    plain = spark.createDataFrame([("a", ["x", "y"], ["z"])], spaced.schema)
+    assert contexts.structural_vectors(selected, spaced).collect() == contexts.structural_vectors(selected, plain).collect()
     rows = contexts.structural_vectors(selected, contexts.token_contexts(sequences, SELECTED)).collect()
     assert len(rows) == len(SELECTED)
     for r in rows:

@@ -62,7 +62,8 @@ def test_strip_like_python(column):
 
 def test_numbers(column):
     values = ["3", " 3.7 ", "-2.5", "12d", "inf", "NaN", "1e3", "", None, "9007199254740993", ".5", "0x10"]
-    assert column(numbers.numeric, values)[:3] == [3.0, 3.7, -2.5]
+    assert [float(v) for v in column(numbers.number, values)[:3]] == [3.0, 3.7, -2.5]
+    assert column(numbers.whole_not_negative, ["-0.5", "0", "2.9", "x"]) == [None, 0, 2, None]
     assert column(numbers.whole, values) == [3, 3, -2, None, None, None, 1000, None, None, 9007199254740993, 0, None]
     assert column(numbers.digits_only, ["12", "-", "", "-3", "1.0"]) == [12, None, None, None, None]
 
