@@ -82,7 +82,7 @@ def nudge(
     return vectors.join(rows, "idx").select("idx", "token", "vec", "improved")
 
 
-def similarity_change(improved: DataFrame, blocks: int = 1) -> DataFrame:
+def similarity_change(improved: DataFrame, blocks: int | None = None) -> DataFrame:
     """Similarity of every pair before and after, and the change."""
     names: Sequence[str] = ("original_similarity", "improved_similarity")
     listing = pair_listing(improved, blocks, ("vec", "improved"), names)

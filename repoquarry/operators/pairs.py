@@ -3,6 +3,9 @@
 Vectors are dealt into equal blocks by a hash of their index. Each pair of blocks is one group, and a
 group computes its similarities as one matrix product. What leaves a group depends on the question:
 its best pairs, a summary, or (for selections of tokens, where the listing is the result) its pairs.
+
+``blocks`` is 1 for a selection known to be small. By default the vectors are written to the shared
+folder and counted, and the number of blocks follows, so that no group holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repoquarry.functions.vectors import cosine
+from repoquarry.session import materialize
 
 BLOCK_ROWS = 1024
 
@@ -57,8 +61,11 @@ def _pair_frame(group: pd.DataFrame, i, j, similarities, names) -> pd.DataFrame:
 
 
 def _by_block_pair(
-    vectors: DataFrame, blocks: int, vec_columns: Sequence[str], kernel: Callable, schema: str
+    vectors: DataFrame, blocks: int | None, vec_columns: Sequence[str], kernel: Callable, schema: str
 ) -> DataFrame:
+    if blocks is None:
+        vectors, _ = materialize(vectors.select("idx", "token", *vec_columns), "vectors")
+        blocks = blocks_for(vectors.count())
     block = F.pmod(F.xxhash64("idx"), F.lit(blocks)).cast("int")
     dealt = vectors.select("idx", "token", *vec_columns, block.alias("_block"))
     partners = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -76,7 +83,7 @@ def _pair_schema(names: Sequence[str]) -> str:
 
 def pair_listing(
     vectors: DataFrame,
-    blocks: int = 1,
+    blocks: int | None = None,
     vec_columns: Sequence[str] = ("vec",),
     names: Sequence[str] = ("similarity",),
 ) -> DataFrame:
@@ -89,7 +96,7 @@ def pair_listing(
     return _by_block_pair(vectors, blocks, vec_columns, kernel, _pair_schema(names))
 
 
-def extreme_pairs(vectors: DataFrame, k: int = 10, most: bool = True, blocks: int = 1) -> DataFrame:
+def extreme_pairs(vectors: DataFrame, k: int = 10, most: bool = True, blocks: int | None = None) -> DataFrame:
     """The ``k`` most (or least) similar pairs; each group passes on its own ``k`` best only."""
     sign = -1.0 if most else 1.0
 
@@ -108,7 +115,7 @@ def extreme_pairs(vectors: DataFrame, k: int = 10, most: bool = True, blocks: in
     return best.orderBy(order, "idx_1", "idx_2").limit(k)
 
 
-def similarity_summary(vectors: DataFrame, blocks: int = 1) -> DataFrame:
+def similarity_summary(vectors: DataFrame, blocks: int | None = None) -> DataFrame:
     """(pairs, highest, lowest, average) over all pairs; a group passes on four numbers."""
 
     def kernel(group: pd.DataFrame) -> pd.DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from repoquarry.functions import vectors as vx
 from repoquarry.functions.arrays import open_places
+from repoquarry.session import settle
 
 VECTOR_SIZE = 128
 # Weights of the mean, spread, first and last position in a position vector.
@@ -99,16 +100,18 @@ def frequency_vectors(selected: DataFrame, files: DataFrame) -> DataFrame:
 def position_features(selected: DataFrame, sequences: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Where the selected tokens stand in their sequences (0 first, 1 last, 0.5 if alone).
 
-    Positions are met with the broadcast selection right after the arrays are opened, and partial
-    averages are made before the shuffle. Tokens never met get 0.5 and no spread.
+    A selection of checked size is broadcast, so that tokens are dropped right after the arrays are
+    opened; partial averages are made before the shuffle. Tokens never met get 0.5 and no spread.
+    Runs a job for the selection.
     """
+    selected, small = settle(selected.select("idx", "token"))
+    wanted = selected.select("token")
     opened = open_places(sequences, F.col(tokens), "token")
-    wanted = F.broadcast(selected.select("token"))
     place = F.when(F.col("n") == 1, F.lit(0.5)).otherwise(
         F.col("pos") / F.greatest(F.col("n") - 1, F.lit(1))
     )
     stats = (
-        opened.join(wanted, "token")
+        opened.join(F.broadcast(wanted) if small else wanted, "token")
         .groupBy("token")
         .agg(
             F.avg(place).alias("mean_position"),
@@ -119,7 +122,7 @@ def position_features(selected: DataFrame, sequences: DataFrame, tokens: str = "
         )
     )
     unseen = {"mean_position": 0.5, "position_std": 0.0, "minimum_position": 0.5, "maximum_position": 0.5}
-    joined = selected.select("idx", "token").join(F.broadcast(stats), "token", "left")
+    joined = selected.join(stats, "token", "left")
     return joined.select(
         "idx",
         "token",

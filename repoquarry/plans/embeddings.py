@@ -47,7 +47,7 @@ def embed_and_compare(
     listings = reduce(
         DataFrame.unionByName,
         [
-            po.pair_listing(v.select("idx", "token", "vec")).withColumn("approach", F.lit(name))
+            po.pair_listing(v.select("idx", "token", "vec"), blocks=1).withColumn("approach", F.lit(name))
             for name, v in vectors.items()
         ],
     )

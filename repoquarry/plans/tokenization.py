@@ -42,7 +42,7 @@ def tokenize_and_profile(
     vectors = tv.random_vectors(tokens)
     related = no.overlapping_pairs(tokens)
     improved = no.nudge(vectors, related)
-    changes = no.similarity_change(improved)
+    changes = no.similarity_change(improved, blocks=1)
     return {
         "model": model,
         "comparison": comparison,
@@ -51,8 +51,8 @@ def tokenize_and_profile(
         "subword_frequency": subwords,
         "top_tokens": vo.top_tokens(subwords, top),
         "vectors": vectors,
-        "most_similar": po.extreme_pairs(vectors, 10, most=True),
-        "least_similar": po.extreme_pairs(vectors, 10, most=False),
+        "most_similar": po.extreme_pairs(vectors, 10, most=True, blocks=1),
+        "least_similar": po.extreme_pairs(vectors, 10, most=False, blocks=1),
         "improved": improved,
         "top_improvements": no.top_improvements(changes),
         "improvement_statistics": no.improvement_statistics(related, changes),

@@ -17,6 +17,7 @@ from repoquarry.operators import vocabulary as vo
 from repoquarry.plans import embeddings as plan
 from repoquarry.queries import inputs as q
 from repoquarry.queries import tokens as qt
+from repoquarry.session import settle
 
 
 def _selected(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,9 +27,8 @@ def _selected(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fixed(selected: DataFrame) -> tuple[DataFrame, list[str]]:
     """A selection (20 rows) settled, so that the corpus is not counted again for every use."""
-    rows = selected.collect()
-    spark = selected.sparkSession
-    return spark.createDataFrame(rows, selected.schema), [r["token"] for r in rows]
+    local, _ = settle(selected)
+    return local, [r["token"] for r in local.collect()]
 
 
 def _word_sequences(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,7 +97,7 @@ def similarity_comparison(spark, sf):
     position = tv.position_vectors(qt.word_positions(spark, sf, _selected(spark, sf)))
     parts = [("Frequency", _frequency_vectors(spark, sf)), ("Position", position)]
     listings = [
-        po.pair_listing(v.select("idx", "token", "vec")).withColumn("approach", F.lit(name)) for name, v in parts
+        po.pair_listing(v.select("idx", "token", "vec"), blocks=1).withColumn("approach", F.lit(name)) for name, v in parts
     ]
     out = po.compare_approaches(listings[0].unionByName(listings[1]))
     return out.select("approach", *[F.round(c, 6).alias(c) for c in out.columns if c != "approach"])

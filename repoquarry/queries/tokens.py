@@ -130,22 +130,22 @@ def bpe_token_frequency(spark, sf):
 
 
 def most_similar_pairs(spark, sf):
-    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=True)
+    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=True, blocks=1)
     return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
 
 
 def least_similar_pairs(spark, sf):
-    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=False)
+    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=False, blocks=1)
     return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
 
 
 def pair_similarity(spark, sf):
-    pairs = po.pair_listing(top_word_vectors(spark, sf))
+    pairs = po.pair_listing(top_word_vectors(spark, sf), blocks=1)
     return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
 
 
 def similarity_summary(spark, sf):
-    row = po.similarity_summary(top_word_vectors(spark, sf))
+    row = po.similarity_summary(top_word_vectors(spark, sf), blocks=1)
     return row.select("pairs", *[F.round(c, 6).alias(c) for c in row.columns if c != "pairs"])
 
 
@@ -165,7 +165,7 @@ def pair_lookup(spark, sf):
 def _nudged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     vectors = top_word_vectors(spark, sf)
     related = no.overlapping_pairs(vectors.select("idx", "token"))
-    return related, no.similarity_change(no.nudge(vectors, related))
+    return related, no.similarity_change(no.nudge(vectors, related), blocks=1)
 
 
 def nudged_similarity(spark, sf):

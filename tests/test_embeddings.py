@@ -35,6 +35,15 @@ def test_position_features(sequences, selected):
         assert tuple(r)[2:] == pytest.approx(want)
 
 
+def test_position_features_of_a_large_selection(sequences, selected, monkeypatch, physical_plan):
+    """Beyond the size limit the selection is joined without a broadcast hint, with the same result."""
+    from repoquarry import session
+
+    small = sorted(map(tuple, tv.position_features(selected, sequences).collect()))
+    monkeypatch.setattr(session, "SELECTION_ROWS", 2)
+    assert sorted(map(tuple, tv.position_features(selected, sequences).collect())) == small
+
+
 def test_position_vectors(sequences, selected):
     def encode(p):
         v = np.zeros(128)

@@ -62,7 +62,7 @@ def _same(rows, expected):
     assert [r[2] for r in rows] == pytest.approx([e[2] for e in expected], abs=1e-12)
 
 
-@pytest.mark.parametrize("blocks", [1, 7])
+@pytest.mark.parametrize("blocks", [1, 7, None])
 def test_extreme_pairs(vectors, blocks):
     most = pairs.extreme_pairs(vectors, 10, True, blocks).select("token_1", "token_2", "similarity").collect()
     least = pairs.extreme_pairs(vectors, 10, False, blocks).select("token_1", "token_2", "similarity").collect()
@@ -133,6 +133,10 @@ def test_listing_and_summary_against_numpy(spark, blocks):
     )
 
 
+def test_many_blocks_follow_from_the_count():
+    assert [pairs.blocks_for(n) for n in (0, 1, 1024, 1025, 5000)] == [1, 1, 1, 2, 5]
+
+
 def test_one_vector_has_no_pairs(spark):
     df = spark.createDataFrame([(0, "a", [1.0])], "idx INT, token STRING, vec ARRAY<DOUBLE>")
     assert pairs.pair_listing(df).count() == 0
