@@ -29,3 +29,14 @@ def open_places(
     names = [c for c in sized.columns if c != "_array"]
     opened = sized.select(*names, F.posexplode_outer("_array").alias("pos", name))
     return opened.filter(F.col("pos").isNotNull())
+
+
+def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on costly computed columns without computing them a second time.
+
+    A plain filter moves below the projection that computes its columns and repeats their
+    expressions there. Opening a one-element or empty array instead stays where it is.
+    """
+    flag = F.when(condition, F.array(F.lit(True)))
+    opened = df.select("*", F.explode_outer(flag).alias("_kept"))
+    return opened.filter(F.col("_kept").isNotNull()).drop("_kept")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repoquarry.functions.arrays import keep_rows
 from repoquarry.functions.numbers import whole_not_negative
 from repoquarry.functions.paths import forward_slashes
 from repoquarry.functions.text import strip
@@ -40,16 +41,16 @@ def _text(name: str) -> Column:
 
 
 def _keys(df: DataFrame) -> DataFrame:
-    tidy = df.withColumn("repository", _text("repository")).withColumn(
-        "file_path", forward_slashes(_text("file_path"))
-    )
-    return tidy.filter((F.col("repository") != "") & (F.col("file_path") != ""))
+    return df.withColumns({"repository": _text("repository"), "file_path": forward_slashes(_text("file_path"))})
 
 
-def _measures(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Whole non-negative numbers; rows with anything else are dropped."""
-    read = df.withColumns({name: whole_not_negative(F.col(name)) for name in names})
-    return read.dropna(subset=list(names))
+def _valid(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Tidy keys that are not empty and whole non-negative numbers; other rows are dropped."""
+    tidy = _keys(df).withColumns({name: whole_not_negative(F.col(name)) for name in measures})
+    condition = (F.col("repository") != "") & (F.col("file_path") != "")
+    for name in measures:
+        condition = condition & F.col(name).isNotNull()
+    return keep_rows(tidy, condition)
 
 
 def clean_source(df: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
@@ -62,7 +63,7 @@ def clean_source(df: DataFrame, order: Sequence[Column] | None = None) -> DataFr
     require_columns(df, ["repository", "file_path", "language", "extension", "loc", "size_bytes"])
     for name in ("language", "extension"):
         df = df.withColumn(name, _text(name))
-    valid = _measures(_keys(df), ["loc", "size_bytes"])
+    valid = _valid(df, ["loc", "size_bytes"])
     return first_n_per_key(valid, JOIN_KEYS, order or [F.asc("_row")], 1)
 
 
@@ -70,7 +71,7 @@ def clean_history(df: DataFrame) -> DataFrame:
     """Valid history rows, duplicates of (repository, file_path) added up."""
     df = drop_empty_rows(normalize_columns(df))
     require_columns(df, ["repository", "file_path", "change_count"])
-    valid = _measures(_keys(df), ["change_count"])
+    valid = _valid(df, ["change_count"])
     return valid.groupBy(*JOIN_KEYS).agg(F.sum("change_count").alias("change_count"))
 
 

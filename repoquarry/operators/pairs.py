@@ -154,7 +154,7 @@ def mean_vectors(vectors: DataFrame, key: str, vec: str = "vec") -> DataFrame:
     Grouping by key and slot keeps partial sums on the map side, so a hot key costs no more than
     a rare one after the shuffle.
     """
-    slots = vectors.select(key, F.posexplode(vec).alias("slot", "value"))
+    slots = vectors.select(key, F.posexplode_outer(vec).alias("slot", "value")).filter(F.col("slot").isNotNull())
     means = slots.groupBy(key, "slot").agg(F.avg(F.col("value").cast("double")).alias("value"))
     ordered = F.array_sort(F.collect_list(F.struct("slot", "value")))
     return means.groupBy(key).agg(F.transform(ordered, lambda x: x["value"]).alias("vec"))
