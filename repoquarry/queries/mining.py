@@ -111,7 +111,7 @@ def report_rows(spark, sf):
         ho.churn(recent, changes),
         ho.top_changed_files(ho.change_counts(changes)),
         ho.commits_per_month(commits),
-    ).drop("value")
+    )
 
 
 def repository_names(spark, sf):
@@ -206,34 +206,49 @@ SELECT * REPLACE (round(average_files_changed_per_month, 6) AS average_files_cha
   round(average_deleted_lines_per_commit, 6) AS average_deleted_lines_per_commit) FROM churn""",
     "top_changed_files": f"""WITH {q.COMMITS_SQL}
 SELECT * FROM change_counts QUALIFY {_TOP10.format("change_count")}""",
-    "report_rows": f"""WITH {q.FILES_SQL}, {q.COMMITS_SQL}
-SELECT repository, '1 inventory' AS section, CAST(o AS BIGINT) AS ord, key
-FROM (SELECT DISTINCT repository FROM listing), (VALUES (1, 'total files'), (2, 'source-code files'),
-  (3, 'directories'), (4, 'total lines'), (5, 'average lines per source file')) t(o, key)
-UNION ALL
-SELECT repository, '2 languages', row_number() OVER (PARTITION BY repository ORDER BY n DESC, language), language
-FROM (SELECT repository, language, count(*) AS n FROM metrics GROUP BY ALL)
-UNION ALL
-SELECT repository, '3 file types', row_number() OVER (PARTITION BY repository ORDER BY n DESC, e), e
-FROM (SELECT repository, CASE WHEN extension = '' THEN '[no extension]' ELSE extension END AS e,
-  count(*) AS n FROM listing GROUP BY ALL)
-UNION ALL
-SELECT * FROM (SELECT repository, '4 largest files',
-  row_number() OVER (PARTITION BY repository ORDER BY loc DESC, file_path) AS ord, file_path FROM metrics)
-WHERE ord <= 10
-UNION ALL
-SELECT repository, '5 history', CAST(o AS BIGINT), key
-FROM (SELECT DISTINCT repository FROM commits), (VALUES (1, 'total commits'), (2, 'contributors'),
-  (3, 'most active contributor'), (4, 'commits of the most active'), (5, 'commits analyzed for changes'),
-  (6, 'average files changed per month'), (7, 'average lines added per commit'),
-  (8, 'average lines deleted per commit')) t(o, key)
+    "report_rows": f"""WITH {q.FILES_SQL}, {q.COMMITS_SQL}, {_FOLDERS.format("listing")}, {_TOTALS}, {_CHURN},
+{_AUTHORS},
+scalars AS (
+  SELECT repository, '1 inventory' AS section, unnest([
+    {{'ord': 1, 'key': 'total files', 'value': format('{{:,}}', total_files)}},
+    {{'ord': 2, 'key': 'source-code files', 'value': format('{{:,}}', source_code_files)}},
+    {{'ord': 3, 'key': 'directories', 'value': format('{{:,}}', directories)}},
+    {{'ord': 4, 'key': 'total lines', 'value': format('{{:,}}', total_loc)}},
+    {{'ord': 5, 'key': 'average lines per source file',
+      'value': format('{{:,.2f}}', average_loc_per_source_file)}}]) AS e FROM totals
+  UNION ALL
+  SELECT repository, '5 history', unnest([
+    {{'ord': 1, 'key': 'total commits', 'value': format('{{:,}}', commits)}},
+    {{'ord': 2, 'key': 'contributors', 'value': format('{{:,}}', people)}},
+    {{'ord': 3, 'key': 'most active contributor', 'value': leader}},
+    {{'ord': 4, 'key': 'commits of the most active', 'value': format('{{:,}}', most)}},
+    {{'ord': 5, 'key': 'commits analyzed for changes', 'value': format('{{:,}}', analyzed_commits)}},
+    {{'ord': 6, 'key': 'average files changed per month',
+      'value': format('{{:,.2f}}', average_files_changed_per_month)}},
+    {{'ord': 7, 'key': 'average lines added per commit',
+      'value': format('{{:,.2f}}', average_added_lines_per_commit)}},
+    {{'ord': 8, 'key': 'average lines deleted per commit',
+      'value': format('{{:,.2f}}', average_deleted_lines_per_commit)}}])
+  FROM churn JOIN (SELECT repository, CAST(sum(commit_count) AS BIGINT) AS commits, count(*) AS people,
+    first(author ORDER BY commit_count DESC, author) AS leader, max(commit_count) AS most
+    FROM authors GROUP BY 1) USING (repository)),
+counted AS (
+  SELECT repository, '2 languages' AS section, language AS key, count(*) AS n FROM metrics GROUP BY ALL
+  UNION ALL
+  SELECT repository, '3 file types', CASE WHEN extension = '' THEN '[no extension]' ELSE extension END,
+    count(*) FROM listing GROUP BY ALL
+  UNION ALL
+  SELECT repository, '4 largest files', file_path, loc FROM metrics QUALIFY {_TOP10.format("loc")}
+  UNION ALL
+  SELECT repository, '6 most changed files', file_path, change_count FROM change_counts
+    QUALIFY {_TOP10.format("change_count")})
+SELECT repository, section, CAST(e.ord AS BIGINT) AS ord, e.key AS key, e.value AS value FROM scalars
 UNION ALL
-SELECT * FROM (SELECT repository, '6 most changed files',
-  row_number() OVER (PARTITION BY repository ORDER BY change_count DESC, file_path) AS ord, file_path
-  FROM change_counts) WHERE ord <= 10
+SELECT repository, section, row_number() OVER (PARTITION BY repository, section ORDER BY n DESC, key), key,
+  format('{{:,}}', n) FROM counted
 UNION ALL
-SELECT repository, '7 commits per month', row_number() OVER (PARTITION BY repository ORDER BY month), month
-FROM (SELECT DISTINCT repository, month FROM commits)""",
+SELECT repository, '7 commits per month', row_number() OVER (PARTITION BY repository ORDER BY month), month,
+  format('{{:,}}', n) FROM (SELECT repository, month, count(*) AS n FROM commits GROUP BY ALL)""",
     "repository_names": """SELECT c_custkey, CASE WHEN c_custkey % 3 < 2 THEN replace(c_name, '#', '-') END AS repository
 FROM customer""",
 }

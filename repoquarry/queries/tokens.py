@@ -124,6 +124,19 @@ def bpe_encode(spark, sf):
     return bo.with_path_tokens(paths, model).select("page_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+def bpe_encoded_text(spark, sf):
+    """The tokens of every document, spelled back: byte characters to bytes, bytes to text."""
+    docs = q.document_texts(spark, sf)
+    model = bo.train(_paths(spark, sf).unionByName(docs.select("text")))
+    tokens = bo.with_tokens(docs, model)
+    moved = [(b, c) for b, c in enumerate(tx.BYTE_ALPHABET) if chr(b) != c]
+    one_per_byte = F.translate(
+        F.array_join("tokens", ""), "".join(c for _, c in moved), "".join(chr(b) for b, _ in moved)
+    )
+    text = F.decode(F.encode(one_per_byte, "ISO-8859-1"), "UTF-8")
+    return tokens.select("doc_id", text.alias("text"))
+
+
 def bpe_token_frequency(spark, sf):
     texts = _paths(spark, sf)
     return bo.token_frequency(bo.piece_counts(texts), bo.train(texts))
@@ -210,6 +223,7 @@ QUERIES = {
         bpe_train,
         bpe_train_texts,
         bpe_encode,
+        bpe_encoded_text,
         bpe_token_frequency,
         most_similar_pairs,
         least_similar_pairs,
@@ -351,6 +365,7 @@ SELECT * REPLACE (round(character_overlap, 6) AS character_overlap) FROM related
     "bpe_pair_counts": f"""WITH {_PIECES}
 SELECT substr(piece, i, 2) AS pair, CAST(sum(n) AS BIGINT) AS n
 FROM (SELECT piece, n, unnest(range(1, length(piece))) AS i FROM pieces) GROUP BY 1""",
+    "bpe_encoded_text": "SELECT doc_id, text FROM documents",
     "most_similar_pairs": f"""WITH {_TOP_VECTORS}, {_PAIRS}
 SELECT token_1, token_2, round(similarity, 6) AS similarity FROM pairs
 ORDER BY pairs.similarity DESC, idx_1, idx_2 LIMIT 10""",

@@ -27,10 +27,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def application_folder(spark: SparkSession) -> str:
+    """All written tables of one application lie together, to be removed after it."""
+    return f"{scratch_dir(spark)}/repoquarry-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
     """Write ``df`` once to the shared folder and read it back: survives lost executors."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
