@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from repoquarry.session import materialize
 
-_SALTS = 64
-
 
 def _keep_first(df: DataFrame, keys: Sequence, order: Sequence[Column], n: int) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -23,13 +21,13 @@ def first_n_per_key(
     """The first ``n`` rows of each key in ``order``; ``rank`` names an optional 1-based column.
 
     Spark cuts to ``n`` rows per key before the shuffle as long as ``n`` is at most its window group
-    limit. For larger ``n`` the cut is made here first, over salted shares of each key, so a key that
-    holds a third of all rows is still sorted by many tasks.
+    limit. For larger ``n`` the cut is made here first, over the part of each key in each input
+    partition, so a key that holds a third of all rows, or copies of one row, is sorted by many tasks.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > limit:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
-        df = _keep_first(df.withColumn("_salt", salt), [*keys, "_salt"], order, n).drop("_salt", "_rank")
+        parts = df.withColumn("_part", F.spark_partition_id())
+        df = _keep_first(parts, [*keys, "_part"], order, n).drop("_part", "_rank")
     kept = _keep_first(df, keys, order, n)
     return kept.withColumnRenamed("_rank", rank) if rank else kept.drop("_rank")
 

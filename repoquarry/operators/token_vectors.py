@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from repoquarry.functions import vectors as vx
 from repoquarry.functions.arrays import open_places
+from repoquarry.operators.ranking import rank_ids
 from repoquarry.session import settle
 
 VECTOR_SIZE = 128
@@ -84,7 +85,8 @@ def frequency_vectors(selected: DataFrame, files: DataFrame) -> DataFrame:
     """Unit vectors (relative frequency, log frequency, relative frequency x share per repository).
 
     ``selected`` has (idx, token, frequency) rows of a selection; repositories are in name order.
-    The repository part is sized by repositories, not by how the tokens are spread over them.
+    The repository part is sized by repositories, not by how the tokens are spread over them. One
+    vector has a slot per repository; see frequency_components where those are too many for one row.
     """
     features = frequency_features(selected)
     shares = F.array_sort(F.collect_list(F.struct("repository", "share")))
@@ -97,6 +99,36 @@ def frequency_vectors(selected: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
+def frequency_components(selected: DataFrame, files: DataFrame) -> DataFrame:
+    """The same vectors in long form (idx, token, slot, value), however many repositories there are.
+
+    No row or group holds all repositories: a vector's length follows from the sum of squared shares,
+    and each share is multiplied with the selected tokens, which are few. Runs jobs.
+    """
+    features, small = settle(frequency_features(selected))
+    if not small:
+        raise ValueError("a selection of tokens is expected")
+    shares = rank_ids(repository_shares(files), [F.asc("repository")], "slot", start=2)
+    squares = shares.agg(F.coalesce(F.sum(F.col("share") * F.col("share")), F.lit(0.0)).alias("s")).first()["s"]
+    relative, log = F.col("normalized_frequency"), F.col("log_frequency")
+    length = F.sqrt(relative * relative * (1.0 + squares) + log * log)
+    scaled = features.select(
+        "idx",
+        "token",
+        *[F.when(length > 0, c / length).otherwise(c).alias(name) for name, c in (("r", relative), ("l", log))],
+    )
+    head = scaled.select("idx", "token", F.posexplode(F.array("r", "l")).alias("slot", "value"))
+    tokens = F.array(
+        *[
+            F.struct(F.lit(t.idx).alias("idx"), F.lit(t.token).alias("token"), F.lit(t.r).alias("r"))
+            for t in scaled.collect()
+        ]
+    )
+    opened = shares.select(F.col("slot").cast("int").alias("slot"), "share", F.explode(tokens).alias("t"))
+    tail = opened.select("t.idx", "t.token", "slot", (F.col("t.r") * F.col("share")).alias("value"))
+    return head.unionByName(tail)
+
+
 def position_features(selected: DataFrame, sequences: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Where the selected tokens stand in their sequences (0 first, 1 last, 0.5 if alone).
 

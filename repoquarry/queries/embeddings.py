@@ -86,6 +86,13 @@ def frequency_embedding(spark, sf):
     return _slots(_frequency_vectors(spark, sf), "token")
 
 
+def frequency_components(spark, sf):
+    selected, _ = _fixed(_selected(spark, sf))
+    known = tv.token_frequencies(selected, selected.select("token", "frequency"))
+    rows = tv.frequency_components(known, q.document_files(spark, sf).select("repository"))
+    return rows.select("token", "slot", F.round("value", 6).alias("value"))
+
+
 def token_contexts(spark, sf):
     _, tokens = _fixed(_selected(spark, sf))
     found = co.token_contexts(_word_sequences(spark, sf), tokens, keep=("doc_id",))
@@ -148,6 +155,7 @@ QUERIES = {
         token_positions,
         position_embedding,
         frequency_embedding,
+        frequency_components,
         token_contexts,
         similarity_comparison,
         hash_vectors,
@@ -213,6 +221,7 @@ SELECT idx, token, round(mean_position, 6) AS mean_position, round(position_std,
 FROM features""",
     "position_embedding": f"WITH {_POSITION} {_slots_sql('token', 'vectors')}",
     "frequency_embedding": f"WITH {_SELECTED}, {_FREQUENCY} {_slots_sql('token', 'frequency_vectors')}",
+    "frequency_components": f"WITH {_SELECTED}, {_FREQUENCY} {_slots_sql('token', 'frequency_vectors')}",
     "token_contexts": f"""WITH {_SELECTED},
 placed AS (SELECT doc_id, tokens, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS i FROM word_docs)
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, token,

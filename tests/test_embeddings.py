@@ -102,7 +102,9 @@ def test_frequency_vectors(spark, selected):
     frequency = spark.createDataFrame([("a", 10), ("c", 4), ("other", 99)], "token STRING, frequency BIGINT")
     files = spark.createDataFrame([("r2",), ("r1",), ("r2",), ("r2",), (None,)], "repository STRING")
     known = tv.token_frequencies(selected, frequency)
+    slots = {(r.token, r.slot): r.value for r in tv.frequency_components(known, files).collect()}
     for r in tv.frequency_vectors(known, files).collect():
+        assert [slots[(r.token, k)] for k in range(4)] == pytest.approx(r.vec)
         f = {"a": 10, "c": 4}.get(r.token, 0)
         v = np.array([f / 10, math.log1p(f), f / 10 * 0.25, f / 10 * 0.75])
         n = np.linalg.norm(v)

@@ -65,6 +65,12 @@ def test_hot_key_is_cut_before_the_shuffle(spark, physical_plan):
     assert [r.v for r in rows] == list(range(1500)) and rows[-1].place == 1500
 
 
+def test_copies_of_one_row_are_cut_per_partition(spark):
+    df = spark.range(0, 30000, 1, 6).select(F.lit("r").alias("k"), F.lit(7).alias("v"), (F.col("id") * 0).alias("z"))
+    got = ranking.first_n_per_key(df.withColumn("k", F.concat("k", "z")), ["k"], [F.asc("v")], 1200)
+    assert got.count() == 1200
+
+
 def test_window_of_latest_commits(spark):
     rows = [("r", i, f"h{i}") for i in range(10)] + [("s", 1, "x")]
     df = spark.createDataFrame(rows, "repository STRING, seq INT, commit_hash STRING")
