@@ -33,6 +33,7 @@ UNKNOWN = "[UNK]"
 _SEPARATOR = "\x01"
 _FIRST_MERGED = 0x1000
 _RUN_LIMIT = 50_000
+_FIRST_CANDIDATES = 64
 _MAX_CANDIDATES = 4_096
 _CACHED_PIECES = 500_000
 
@@ -305,7 +306,7 @@ def train(
         vocab.setdefault(c, len(vocab))
     merges: list[tuple[str, str]] = []
     created = 0
-    candidates = 256
+    candidates = _FIRST_CANDIDATES
     table = table.filter(F.length("piece") > 1)
 
     while len(vocab) < vocabulary_size:
@@ -369,9 +370,9 @@ def _fetch_runs(pieces: DataFrame, fetched: list, candidates: int):
 def _next_candidates(candidates: int, known: int, runs: int) -> int:
     if known < candidates:
         return max(16, known)
-    if runs < _RUN_LIMIT // 3:
-        return min(_MAX_CANDIDATES, candidates * 2)
-    return candidates
+    if runs >= _RUN_LIMIT // 3:
+        return candidates
+    return min(_MAX_CANDIDATES, candidates * (4 if runs < _RUN_LIMIT // 20 else 2))
 
 
 # --- encoding -------------------------------------------------------------------------------------
