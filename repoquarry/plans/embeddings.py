@@ -14,7 +14,7 @@ from repoquarry.operators import pieces as bo
 from repoquarry.operators import selection as sel
 from repoquarry.operators import skipgram
 from repoquarry.operators import token_vectors as tv
-from repoquarry.session import materialize, spread
+from repoquarry.session import materialize, ship_package, spread
 
 
 def embed_and_compare(
@@ -26,6 +26,7 @@ def embed_and_compare(
     partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     """``files`` has (repository, file_path). Paths are encoded once, for all approaches. Runs jobs."""
+    ship_package(files.sparkSession)
     chosen = sel.select_tokens(frequency, ranks, len(ranks)).select("idx", "token").collect()
     selected = files.sparkSession.createDataFrame(chosen, "idx INT, token STRING")
     tokens = [row["token"] for row in chosen]

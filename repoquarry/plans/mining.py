@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from repoquarry.operators import files as fo
 from repoquarry.operators import history as ho
 from repoquarry.operators.report import report_rows
-from repoquarry.session import materialize
+from repoquarry.session import materialize, ship_package
 from repoquarry.sources import commit_log, tree
 
 
@@ -58,6 +58,7 @@ def mine_folders(
 ) -> dict[str, DataFrame]:
     """The same from exports: <trees>/<repository>/..., and log files one folder per repository."""
     recent = ho.latest_commits(commit_log.read_changes(spark, change_logs), window)
+    ship_package(spark)
     entries = tree.scan(spark, trees)
     listing = tree.files_of(entries)
     sources, _ = materialize(tree.measure_sources(listing, trees), "sources")

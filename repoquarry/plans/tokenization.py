@@ -13,7 +13,7 @@ from repoquarry.operators import pieces as bo
 from repoquarry.operators import selection as sel
 from repoquarry.operators import token_vectors as tv
 from repoquarry.operators import vocabulary as vo
-from repoquarry.session import materialize, spread
+from repoquarry.session import materialize, ship_package, spread
 
 
 def tokenizer_comparison(
@@ -34,6 +34,7 @@ def tokenize_and_profile(
     df: DataFrame, vocabulary_size: int = bo.VOCABULARY_SIZE, top: int = sel.CANDIDATES
 ) -> dict[str, DataFrame | bo.BpeModel]:
     """All of stage three for a table with a source_code, code or file_path column. Runs jobs."""
+    ship_package(df.sparkSession)
     texts = spread(vo.documents(df))
     comparison, model = tokenizer_comparison(texts, vocabulary_size)
     filled = vo.documents(texts.withColumnRenamed("text", "source_code"), skip_blank=True)

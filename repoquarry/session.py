@@ -4,10 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the tasks' Python this package, once per application, as Spark ships any Python file."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="repoquarry-")) / "repoquarry.zip"
+    with zipfile.ZipFile(archive, "w") as zipped:
+        for source in sorted(package.rglob("*.py")):
+            zipped.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
 
 
 def scratch_dir(spark: SparkSession) -> str:
