@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,11 +74,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch by rows so that each piece has about ``most`` bytes of text, one row at least."""
     if not batch.num_rows:
         return
-    sizes = np.asarray(batch.column(text).cast(pa.large_string()).cast(pa.large_binary()).fill_null(b"").to_pandas().str.len())
+    sizes = np.asarray(pc.binary_length(batch.column(text)).fill_null(0)).astype(np.int64)
     piece = np.cumsum(sizes) // most
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
