@@ -51,6 +51,7 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 yield superkmers.counted(_runs(batch, text, k, np.zeros(0, np.uint64))[-1].place)
 
     hot = superkmers.hot_places(docs.select(text), places)
+    packer = superkmers.Packer.of(docs, text)
 
     def cut(batches):
         for whole in batches:
@@ -64,11 +65,11 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 row = np.searchsorted(until, runs.start, "right")
                 before = np.concatenate([[0], until[:-1]])[row]
                 key, mark = np.asarray(batch.column("_key"))[row], np.asarray(batch.column("_mark"))[row]
-                yield superkmers.packed(runs, strings, key, mark, runs.start - before)
+                yield superkmers.packed(runs, strings, key, mark, runs.start - before, packer)
 
     def sort(batches):
         spans, first, length = [], [], []
-        for meeting in superkmers.meetings(batches):
+        for meeting in superkmers.meetings(batches, packer):
             for occurrences, a, n in _marked(meeting, k):
                 spans.append(occurrences)
                 first.append(a)

@@ -135,6 +135,7 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 yield superkmers.counted(superkmers.runs(data, at[1:], k, gram, GRID, np.zeros(0, np.uint64)).place)
 
     hot = superkmers.hot_places(docs.select(text), places)
+    packer = superkmers.Packer.of(docs, text)
 
     def cut(batches):
         for whole in batches:
@@ -147,11 +148,11 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 strings = [raw[x:y] for x, y in zip(runs.start.tolist(), end.tolist(), strict=True)]
                 row = np.searchsorted(at, runs.start, "right") - 1
                 key, mark = np.asarray(batch.column("_key"))[row], np.asarray(batch.column("_mark"))[row]
-                yield superkmers.packed(runs, strings, key, mark, runs.start - at[row])
+                yield superkmers.packed(runs, strings, key, mark, runs.start - at[row], packer)
 
     def sort(batches):
         held, size = [], 0
-        for meeting in superkmers.meetings(batches):
+        for meeting in superkmers.meetings(batches, packer):
             held.append(meeting)
             size += sum(map(len, meeting.strings))
             if size >= _SORTED_BYTES:

@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -29,6 +31,43 @@ SCHEMA = "place bigint, string binary, first int, windows int, occurrences binar
 _POSITION = np.uint64(0xFFFFFFFF)
 
 
+class Packer:
+    """Strings travel compressed, each by itself, with a dictionary from SAMPLE texts at most. Equal strings
+    are equal compressed; the dictionary changes no result."""
+
+    SAMPLE, SIZE = 400, 32 << 10
+
+    def __init__(self, texts: list[str]):
+        self.raw = b" ".join(t.encode() for t in texts)[: 64 * self.SIZE]
+        pieces = [self.raw[i : i + 300] for i in range(0, len(self.raw), 300)]
+        try:
+            self.dictionary = zstandard.train_dictionary(self.SIZE, pieces).as_bytes()
+        except zstandard.ZstdError:  # too little text
+            self.dictionary = self.raw[: self.SIZE]
+        del self.raw
+
+    @classmethod
+    def of(cls, docs: DataFrame, text: str) -> Packer:
+        rows = docs.select(F.col(text).alias("t")).where(F.length("t") > 0).limit(cls.SAMPLE)
+        return cls([r["t"] for r in rows.select(F.substring("t", 1, 8000).alias("t")).collect()])
+
+    def __getstate__(self):
+        return {"dictionary": self.dictionary}
+
+    @cached_property
+    def _pair(self):
+        words = zstandard.ZstdCompressionDict(self.dictionary)
+        plain = dict(write_checksum=False, write_content_size=True, write_dict_id=False)
+        packing = zstandard.ZstdCompressor(level=3, dict_data=words, **plain)
+        return packing, zstandard.ZstdDecompressor(dict_data=words)
+
+    def pack(self, string: bytes) -> bytes:
+        return self._pair[0].compress(string)
+
+    def unpack(self, string: bytes) -> bytes:
+        return self._pair[1].decompress(string)
+
+
 @dataclass
 class Runs:
     """Of each run: first window, number of windows, minimiser hash, distance of the first window to it."""
@@ -95,7 +134,7 @@ def counted(places: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(place.view(np.int64)), pa.array(n.astype(np.int64))], ["place", "n"])
 
 
-def packed(runs_: Runs, strings: list[bytes], key: np.ndarray, mark: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+def packed(runs_: Runs, strings: list[bytes], key: np.ndarray, mark: np.ndarray, at: np.ndarray, packer: Packer) -> pa.RecordBatch:
     """Rows of SCHEMA: equal strings of the batch are one row with all their occurrences."""
     place_of = runs_.place.view(np.int64)
     occurrence = np.empty(len(strings), OCCURRENCE)
@@ -114,7 +153,7 @@ def packed(runs_: Runs, strings: list[bytes], key: np.ndarray, mark: np.ndarray,
     )
     columns = [
         pa.array(place_of[picked]),
-        pa.array([x[2] for x in index], pa.binary()),
+        pa.array([packer.pack(x[2]) for x in index], pa.binary()),
         pa.array(runs_.first[picked], pa.int32()),
         pa.array(runs_.windows[picked], pa.int32()),
         listed,
@@ -132,7 +171,7 @@ class Meeting:
     occurrences: list[np.ndarray]  # sorted
 
 
-def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[Meeting]:
+def meetings(batches: Iterator[pa.RecordBatch], packer: Packer) -> Iterator[Meeting]:
     """Places where something is repeated, from rows sorted by place. Places of one string that occurs once
     are left out: they hold no two equal windows."""
     rows: list[tuple] = []
@@ -147,7 +186,7 @@ def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[Meeting]:
         occurrences = [np.unique(np.frombuffer(b"".join(x[1:]), OCCURRENCE)) for x in found.values()]
         if len(found) == 1 and len(occurrences[0]) < 2:
             return None
-        return Meeting([s for s, _ in found], [f for _, f in found], [x[0] for x in found.values()], occurrences)
+        return Meeting([packer.unpack(s) for s, _ in found], [f for _, f in found], [x[0] for x in found.values()], occurrences)
 
     for batch in batches:
         if not batch.num_rows:
