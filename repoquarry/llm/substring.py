@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from repoquarry.llm import superkmers
-from repoquarry.llm.common import Rolling, batch_of, joinable, keyed, slices, utf8, with_fields
-from repoquarry.session import ship_package
+from repoquarry.llm.common import Rolling, batch_of, keyed, slices, utf8, with_fields
+from repoquarry.session import materialize, ship_package
 
 WINDOW, GRAM, GRID = 20, 4, 6
 
@@ -35,10 +35,10 @@ def _words(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np
     return joined, starts, ends, np.cumsum([len(r) for r in rows])
 
 
-def _runs(batch: pa.RecordBatch, text: str, k: int, hot: np.ndarray):
+def _runs(batch: pa.RecordBatch, text: str, k: int, places: superkmers.Places | None):
     joined, starts, ends, until = _words(batch, text)
     hashes = Rolling(joined).of(starts, ends)
-    return joined, starts, ends, until, superkmers.runs(hashes, until, k, min(GRAM, k), GRID, hot)
+    return joined, starts, ends, until, superkmers.runs(hashes, until, k, min(GRAM, k), GRID, places)
 
 
 def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
@@ -48,15 +48,15 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
     def places(batches):
         for whole in batches:
             for batch in slices(whole, text):
-                yield superkmers.counted(_runs(batch, text, k, np.zeros(0, np.uint64))[-1].place)
+                yield superkmers.counted(_runs(batch, text, k, None)[-1].place)
 
-    hot = superkmers.hot_places(docs.select(text), places)
+    known = docs.sparkSession.sparkContext.broadcast(superkmers.known_places(docs.select(text), places))
     packer = superkmers.Packer.of(docs, text)
 
     def cut(batches):
         for whole in batches:
             for batch in slices(whole, text):
-                joined, starts, ends, until, runs = _runs(batch, text, k, hot)
+                joined, starts, ends, until, runs = _runs(batch, text, k, known.value)
                 if not len(runs.start):
                     continue
                 raw = joined.tobytes()
@@ -114,7 +114,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     if k < 1:
         raise ValueError("a window has at least one word")
     held = keyed(docs, doc_id, text)
-    marks = joinable(superkmers.stretches(repeats(held, text, k)), "repeats")
+    marks, _ = materialize(superkmers.stretches(repeats(held, text, k)), "repeats")
     schema = with_fields(docs.schema, ("n_words", "bigint"), ("n_removed", "bigint"), ("removed", "array<struct<first:int,end:int>>"), ("kept", "string"))
     spans = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from repoquarry.llm import superkmers
-from repoquarry.llm.common import batch_of, joinable, keyed, slices, utf8, with_fields
-from repoquarry.session import ship_package
+from repoquarry.llm.common import batch_of, keyed, slices, utf8, with_fields
+from repoquarry.session import materialize, ship_package
 
 LENGTH, GRAM, GRID = 400, 40, 64
 SHALLOW = 32
@@ -132,16 +132,16 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, text):
                 data, at = utf8(batch.column(text))
-                yield superkmers.counted(superkmers.runs(data, at[1:], k, gram, GRID, np.zeros(0, np.uint64)).place)
+                yield superkmers.counted(superkmers.runs(data, at[1:], k, gram, GRID, None).place)
 
-    hot = superkmers.hot_places(docs.select(text), places)
+    known = docs.sparkSession.sparkContext.broadcast(superkmers.known_places(docs.select(text), places))
     packer = superkmers.Packer.of(docs, text)
 
     def cut(batches):
         for whole in batches:
             for batch in slices(whole, text):
                 data, at = utf8(batch.column(text))
-                runs = superkmers.runs(data, at[1:], k, gram, GRID, hot)
+                runs = superkmers.runs(data, at[1:], k, gram, GRID, known.value)
                 if not len(runs.start):
                     continue
                 raw, end = data.tobytes(), runs.start + runs.windows + k - 1
@@ -172,7 +172,7 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     if k < 8:
         raise ValueError("a stretch has at least eight bytes")
     held = keyed(docs, doc_id, text)
-    marks = joinable(superkmers.stretches(repeats(held, text, k)), "repeats")
+    marks, _ = materialize(superkmers.stretches(repeats(held, text, k)), "repeats")
     schema = with_fields(docs.schema, ("n_bytes", "bigint"), ("n_removed", "bigint"), ("removed", "array<struct<first:int,end:int>>"), ("kept", "binary"))
     spans = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 

@@ -9,6 +9,10 @@ A hot minimiser would gather a large share of all rows in one place. Its runs ar
 to it, ``_GRID`` windows a piece, and each piece is sent by the symbols that all windows at these distances
 have in common. Copies still meet, and different contexts of the hot gram part. Minimisers are hot from
 the share HOT_SHARE of all runs on, so there are never more than 1 / HOT_SHARE of them, whatever the input.
+
+A minimiser of one run alone repeats nothing, so its run stays at home. Which minimisers are repeated is told
+by a sketch of BITS bits, the same size whatever the input: a bit is set if a repeated one falls on it. The
+more of them there are the less it spares; results do not depend on it.
 """
 
 from __future__ import annotations
@@ -24,8 +28,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repoquarry.llm.common import Rolling, mixed, smallest_within
+from repoquarry.session import drop_table, materialize
 
 HOT_SHARE = 1 / 16384
+BITS = 1 << 27  # 16 MB
 OCCURRENCE = np.dtype([("key", "<i8"), ("mark", "<i4"), ("at", "<i4")])
 SCHEMA = "place bigint, string binary, first int, windows int, occurrences binary"
 _POSITION = np.uint64(0xFFFFFFFF)
@@ -78,9 +84,9 @@ class Runs:
     first: np.ndarray
 
 
-def runs(values: np.ndarray, ends: np.ndarray, k: int, m: int, grid: int, hot: np.ndarray) -> Runs:
-    """values: the symbols of all sequences, one after the other; ends: where each sequence ends; hot:
-    sorted hashes of hot minimisers."""
+def runs(values: np.ndarray, ends: np.ndarray, k: int, m: int, grid: int, places: Places | None) -> Runs:
+    """values: the symbols of all sequences, one after the other; ends: where each sequence ends; places:
+    what is known of the minimisers, or None for all runs uncut."""
     n = len(values)
     none = np.zeros(0, np.int64)
     if n < k:
@@ -101,7 +107,13 @@ def runs(values: np.ndarray, ends: np.ndarray, k: int, m: int, grid: int, hot: n
     least = least[windows]
     block = np.full(len(windows), -1, np.int64)
     place = grams[least]
-    if len(hot):
+    if places is not None:
+        bit = (place & np.uint64(BITS - 1)).astype(np.int64)
+        stay = (places.repeated[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+        windows, least, block, place = windows[stay], least[stay], block[stay], place[stay]
+        if not len(windows):
+            return Runs(none, none, none.astype(np.uint64), none)
+    if places is not None and len(hot := places.hot):
         is_hot = hot[np.minimum(np.searchsorted(hot, place), len(hot) - 1)] == place
         block[is_hot] = (least[is_hot] - windows[is_hot]) // grid
     new = np.ones(len(windows), bool)
@@ -118,15 +130,29 @@ def runs(values: np.ndarray, ends: np.ndarray, k: int, m: int, grid: int, hot: n
     return Runs(start, count, place, least - start)
 
 
-def hot_places(docs: DataFrame, places) -> np.ndarray:
-    """Hashes of the minimisers that hold HOT_SHARE of all runs or more; ``places`` maps batches to hashes."""
-    seen = Observation()
+@dataclass
+class Places:
+    """Minimisers by their hashes: the hot ones in order, and the sketch of those with several runs."""
+
+    hot: np.ndarray
+    repeated: np.ndarray
+
+
+def known_places(docs: DataFrame, places) -> Places:
+    """``places`` maps batches of docs to counted hashes of minimisers."""
+    spark, seen = docs.sparkSession, Observation()
     listed = docs.mapInArrow(places, "place bigint, n bigint").observe(seen, F.sum("n").alias("total"))
-    most = listed.groupBy("place").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "place").limit(int(1 / HOT_SHARE))
-    rows = most.collect()
+    several, path = materialize(listed.groupBy("place").agg(F.sum("n").alias("n")).where("n > 1"), "places")
     total = seen.get.get("total") or 0
-    rows = [r for r in rows if r["n"] > 2 and r["n"] >= total * HOT_SHARE]
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    most = several.where(F.col("n") > 2).orderBy(F.desc("n"), "place").limit(int(1 / HOT_SHARE)).collect()
+    hot = np.array([r["place"] for r in most if r["n"] >= total * HOT_SHARE], np.int64).view(np.uint64)
+    bit = F.col("place").bitwiseAND(F.lit(BITS - 1))
+    part, inside = F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(F.lit((1 << 15) - 1))
+    sketch = np.zeros(BITS // 8, np.uint8)
+    for r in several.select(part, inside.alias("b")).groupBy("part").agg(F.bitmap_construct_agg("b").alias("bits")).collect():
+        sketch[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
+    drop_table(spark, path)
+    return Places(np.sort(hot), sketch)
 
 
 def counted(places: np.ndarray) -> pa.RecordBatch:
