@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str, key: str = "_key", mark: str = "_mark") -> DataFrame:
+def keyed(docs: DataFrame, id_col: str, text_col: str, key: str = "__document_key", mark: str = "__document_mark") -> DataFrame:
     """Add the two columns that tell documents apart; they survive any other columns of the table."""
     return docs.withColumns(
         {key: F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)), mark: F.hash(docs[text_col].cast("string"))}

@@ -200,8 +200,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     again = spread.join(nodes, "simhash").select("a", F.col("node").alias("b"))  # one id, several texts
     roots, _ = materialize(components(links(nodes, radius).union(again)), "roots")
     named = nodes.join(roots, "node", "left").select(
-        F.col("simhash").alias("_simhash"), id_of(F.coalesce("root", "node")).alias("component_id")
+        F.col("simhash").alias("__simhash"), id_of(F.coalesce("root", "node")).alias("component_id")
     )
     named, _ = materialize(named, "named")
-    rest = [c for c in marked.columns if c.lower() not in ("component_id", "_simhash")]
-    return marked.select(*rest).join(named, F.col("simhash") == F.col("_simhash")).drop("_simhash")
+    rest = [c for c in marked.columns if c.lower() != "component_id"]
+    return marked.select(*rest).join(named, F.col("simhash") == F.col("__simhash")).drop("__simhash")

@@ -42,7 +42,7 @@ def _runs(batch: pa.RecordBatch, text: str, k: int, places: superkmers.Places |
 
 
 def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
-    """(_key, _mark, first, end): word stretches covered by repeats, of documents with _key and _mark."""
+    """(__document_key, __document_mark, first, end): word stretches covered by repeats, of documents with _key and _mark."""
     ship_package(docs.sparkSession)
 
     def places(batches):
@@ -64,7 +64,7 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 strings = [raw[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
                 row = np.searchsorted(until, runs.start, "right")
                 before = np.concatenate([[0], until[:-1]])[row]
-                key, mark = np.asarray(batch.column("_key"))[row], np.asarray(batch.column("_mark"))[row]
+                key, mark = np.asarray(batch.column("__document_key"))[row], np.asarray(batch.column("__document_mark"))[row]
                 yield superkmers.packed(runs, strings, key, mark, runs.start - before, packer)
 
     def sort(batches):
@@ -79,7 +79,7 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 spans, first, length = [], [], []
         yield superkmers.mark_rows(spans, first, length)
 
-    sent = docs.select("_key", "_mark", text).mapInArrow(cut, superkmers.SCHEMA)
+    sent = docs.select("__document_key", "__document_mark", text).mapInArrow(cut, superkmers.SCHEMA)
     return sent.repartition("place").sortWithinPartitions("place").mapInArrow(sort, superkmers.MARKS)
 
 
@@ -122,7 +122,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         for batch in batches:
             texts = batch.column(text).cast(pa.large_string()).cast(pa.large_binary()).fill_null(b"").to_pylist()
             n, gone, removed, kept = [], [], [], []
-            for t, marked in zip(texts, batch.column("marks").to_pylist(), strict=True):
+            for t, marked in zip(texts, batch.column("__stretches").to_pylist(), strict=True):
                 words, out, left = t.split(), [], 0
                 merged: list[dict] = []
                 for m in marked or ():
@@ -141,5 +141,5 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             added = {"n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "removed": pa.array(removed, spans), "kept": pa.array(kept, pa.string())}
             yield batch_of(batch, schema, added)
 
-    rest = [c for c in held.columns if c.lower() != "marks"]
-    return held.select(*rest).join(marks, ["_key", "_mark"], "left").mapInArrow(remove, schema)
+    rest = [c for c in held.columns if c.lower() != "__stretches"]
+    return held.select(*rest).join(marks, ["__document_key", "__document_mark"], "left").mapInArrow(remove, schema)

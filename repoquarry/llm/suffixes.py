@@ -124,7 +124,7 @@ def _numbered(*keys: np.ndarray) -> np.ndarray:
 
 
 def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
-    """(_key, _mark, first, end): byte stretches covered by repeated ones, of documents with _key and _mark."""
+    """(__document_key, __document_mark, first, end): byte stretches covered by repeated ones, of documents with _key and _mark."""
     ship_package(docs.sparkSession)
     gram = min(GRAM, k)
 
@@ -147,7 +147,7 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 raw, end = data.tobytes(), runs.start + runs.windows + k - 1
                 strings = [raw[x:y] for x, y in zip(runs.start.tolist(), end.tolist(), strict=True)]
                 row = np.searchsorted(at, runs.start, "right") - 1
-                key, mark = np.asarray(batch.column("_key"))[row], np.asarray(batch.column("_mark"))[row]
+                key, mark = np.asarray(batch.column("__document_key"))[row], np.asarray(batch.column("__document_mark"))[row]
                 yield superkmers.packed(runs, strings, key, mark, runs.start - at[row], packer)
 
     def sort(batches):
@@ -160,7 +160,7 @@ def repeats(docs: DataFrame, text: str, k: int) -> DataFrame:
                 held, size = [], 0
         yield _repeats(held, k)
 
-    sent = docs.select("_key", "_mark", text).mapInArrow(cut, superkmers.SCHEMA)
+    sent = docs.select("__document_key", "__document_mark", text).mapInArrow(cut, superkmers.SCHEMA)
     return sent.repartition("place").sortWithinPartitions("place").mapInArrow(sort, superkmers.MARKS)
 
 
@@ -180,7 +180,7 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         for batch in batches:
             data, at = utf8(batch.column(text))
             n, gone, removed, kept = [], [], [], []
-            for a, b, marked in zip(at.tolist(), at[1:].tolist(), batch.column("marks").to_pylist(), strict=False):
+            for a, b, marked in zip(at.tolist(), at[1:].tolist(), batch.column("__stretches").to_pylist(), strict=False):
                 raw, out, left = data[a:b].tobytes(), [], 0
                 merged: list[dict] = []
                 for m in marked or ():
@@ -200,5 +200,5 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             added = {"n_bytes": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "removed": pa.array(removed, spans), "kept": pa.array(kept, pa.binary())}
             yield batch_of(batch, schema, added)
 
-    rest = [c for c in held.columns if c.lower() != "marks"]
-    return held.select(*rest).join(marks, ["_key", "_mark"], "left").mapInArrow(remove, schema)
+    rest = [c for c in held.columns if c.lower() != "__stretches"]
+    return held.select(*rest).join(marks, ["__document_key", "__document_mark"], "left").mapInArrow(remove, schema)

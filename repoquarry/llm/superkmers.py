@@ -87,7 +87,7 @@ class Runs:
 def runs(values: np.ndarray, ends: np.ndarray, k: int, m: int, grid: int, places: Places | None) -> Runs:
     """values: the symbols of all sequences, one after the other; ends: where each sequence ends; places:
     what is known of the minimisers, or None for all runs uncut."""
-    n = len(values)
+    n, grid = len(values), min(grid, k - m + 1)  # all windows of a piece have some symbols in common
     none = np.zeros(0, np.int64)
     if n < k:
         return Runs(none, none, none.astype(np.uint64), none)
@@ -143,8 +143,8 @@ def known_places(docs: DataFrame, places) -> Places:
     spark, seen = docs.sparkSession, Observation()
     listed = docs.mapInArrow(places, "place bigint, n bigint").observe(seen, F.sum("n").alias("total"))
     several, path = materialize(listed.groupBy("place").agg(F.sum("n").alias("n")).where("n > 1"), "places")
-    total = seen.get.get("total") or 0
     most = several.where(F.col("n") > 2).orderBy(F.desc("n"), "place").limit(int(1 / HOT_SHARE)).collect()
+    total = seen.get["total"] if most else 0  # nothing is observed where nothing was read
     hot = np.array([r["place"] for r in most if r["n"] >= total * HOT_SHARE], np.int64).view(np.uint64)
     bit = F.col("place").bitwiseAND(F.lit(BITS - 1))
     part, inside = F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(F.lit((1 << 15) - 1))
@@ -236,21 +236,21 @@ def meetings(batches: Iterator[pa.RecordBatch], packer: Packer) -> Iterator[Meet
         yield meeting
 
 
-MARKS = "_key bigint, _mark int, first int, end int"
+MARKS = "__document_key bigint, __document_mark int, first int, end int"
 
 
 def mark_rows(occurrences: list[np.ndarray], first: list[int], length: list[int]) -> pa.RecordBatch:
     """Rows of MARKS: for each array of occurrences the stretch at ``first`` of that length."""
     if not occurrences:
-        return pa.RecordBatch.from_pylist([], pa.schema([("_key", pa.int64()), ("_mark", pa.int32()), ("first", pa.int32()), ("end", pa.int32())]))
+        return pa.RecordBatch.from_pylist([], pa.schema([("__document_key", pa.int64()), ("__document_mark", pa.int32()), ("first", pa.int32()), ("end", pa.int32())]))
     sizes = [len(o) for o in occurrences]
     all_ = np.concatenate(occurrences)
     start = all_["at"] + np.repeat(np.array(first, np.int32), sizes)
     end = start + np.repeat(np.array(length, np.int32), sizes)
     columns = [np.ascontiguousarray(all_["key"]), np.ascontiguousarray(all_["mark"]), start.astype(np.int32), end.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_key", "_mark", "first", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["__document_key", "__document_mark", "first", "end"])
 
 
 def stretches(marks: DataFrame) -> DataFrame:
-    """(_key, _mark, marks): all stretches of a document, in order."""
-    return marks.groupBy("_key", "_mark").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("marks"))
+    """(__document_key, __document_mark, __stretches): all stretches of a document, in order."""
+    return marks.groupBy("__document_key", "__document_mark").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("__stretches"))
