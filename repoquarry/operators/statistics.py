@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repoquarry.functions.numbers import whole
+from repoquarry.functions.numbers import number
 from repoquarry.operators.ranking import top_n
 
 
@@ -29,23 +29,29 @@ class Section:
     distinct_as: str | None = None  # also report the number of different keys under this name
 
 
+_EXACT = "decimal(38,18)"
+
+
+def _is_whole(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.IntegralType)
+
+
 def _number(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return whole(F.col(name))
-    return F.col(name).cast("bigint")
+    """The value as it is: only results are cut to whole numbers."""
+    return F.col(name).cast("bigint") if _is_whole(df, name) else number(F.col(name))
 
 
-def _entry(section: Section) -> Column:
+def _entry(section: Section, kind: str) -> Column:
     m = section.measure
-    null = F.lit(None).cast("bigint")
+    null = F.lit(None).cast(kind)
     return F.struct(
         F.lit(section.name).alias("section"),
         (F.col(section.key).cast("string") if section.key else F.lit("")).alias("key"),
         F.lit(section.kind).alias("kind"),
         (F.col(f"{m}_n") if m else F.col("n")).alias("n"),
-        (F.col(f"{m}_sum") if m else null).alias("total"),
-        (F.col(f"{m}_min") if m else null).alias("low"),
-        (F.col(f"{m}_max") if m else null).alias("high"),
+        (F.col(f"{m}_sum").cast(kind) if m else null).alias("total"),
+        (F.col(f"{m}_min").cast(kind) if m else null).alias("low"),
+        (F.col(f"{m}_max").cast(kind) if m else null).alias("high"),
     )
 
 
@@ -61,7 +67,8 @@ def summarize(df: DataFrame, dimensions: Sequence[str], sections: Sequence[Secti
             F.max(value).alias(f"{m}_max"),
         ]
     facts = df.groupBy(*dimensions).agg(*aggregates)
-    entries = facts.select(F.explode(F.array(*map(_entry, sections))).alias("e")).select("e.*")
+    held = "bigint" if all(_is_whole(df, m) for m in measures) else _EXACT
+    entries = facts.select(F.explode(F.array(*[_entry(s, held) for s in sections])).alias("e")).select("e.*")
     merged = (
         entries.filter(F.col("key").isNotNull())
         .groupBy("section", "key", "kind")
@@ -75,9 +82,9 @@ def summarize(df: DataFrame, dimensions: Sequence[str], sections: Sequence[Secti
     kind = F.col("kind")
     amount = (
         F.when(kind == "count", F.col("n"))
-        .when(kind == "sum", F.coalesce("total", F.lit(0).cast("bigint")))
-        .when(kind == "min", F.col("low"))
-        .when(kind == "max", F.col("high"))
+        .when(kind == "sum", F.coalesce(F.col("total").cast("bigint"), F.lit(0).cast("bigint")))
+        .when(kind == "min", F.col("low").cast("bigint"))
+        .when(kind == "max", F.col("high").cast("bigint"))
     )
     average = F.when((kind == "average") & (F.col("n") > 0), F.col("total").cast("double") / F.col("n"))
     rows = merged.select("section", "key", amount.alias("amount"), average.alias("average"))

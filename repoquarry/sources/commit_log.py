@@ -21,7 +21,9 @@ def parent_folder_of_file() -> Column:
 
 
 def place_in_file() -> Column:
+    """Order of rows: by file, then as they stand in it, however Spark packs files into tasks."""
     return F.struct(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

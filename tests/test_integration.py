@@ -98,3 +98,13 @@ def test_rank_ids_are_a_permutation(spark, physical_plan):
 def test_top_n_needs_no_full_sort(spark, physical_plan):
     df = spark.range(100).select(F.lit("r").alias("repository"), F.col("id").cast("string").alias("file_path"), F.col("id").alias("change_count"))
     assert "TakeOrderedAndProject" in physical_plan(statistics.hotspots(df))
+
+
+def test_statistics_of_fractions_are_cut_at_the_end(spark):
+    from repoquarry.operators.statistics import source_statistics
+
+    rows = [("r", "a.py", "Python", ".py", "3.7", "1"), ("r", "b.py", "Python", ".py", "3.7", "12d")]
+    df = spark.createDataFrame(rows, "repository string, file_path string, language string, extension string, loc string, size_bytes string")
+    got = {r["section"]: r for r in source_statistics(df).collect()}
+    assert got["total_loc"]["amount"] == 7 and abs(got["average_loc"]["average"] - 3.7) < 1e-12
+    assert got["maximum_loc"]["amount"] == 3 and got["total_size_bytes"]["amount"] == 1
