@@ -154,15 +154,16 @@ def _with_hits(docs: DataFrame, text: str, held, kind: str, first: bool) -> Data
 def without_hits(docs: DataFrame, text: str = "text") -> Column:
     """The text of a scanned document without its hit words, cut between words: runs of hits go with the
     blanks inside them. Texts without hits are left as they are."""
-    raw = F.col(text).cast("binary")
-    ends = F.transform("hits", lambda h: h["end"])
-    starts = F.transform("hits", lambda h: h["first"])
+    # columns of docs itself: a name inside a function would mean a new column of the same select
+    whole, hits = docs[text], docs["hits"]
+    raw = whole.cast("binary")
+    ends, starts, words = hits["end"], hits["first"], hits["word"]
     kept_from = F.concat(F.array(F.lit(0)), ends)
-    kept_to = F.concat(starts, F.array(F.octet_length(text)))
+    kept_to = F.concat(starts, F.array(F.octet_length(whole)))
     pieces = F.transform(
-        F.arrays_zip(kept_from.alias("a"), kept_to.alias("b"), F.concat(F.array(F.lit(-2)), F.transform("hits", lambda h: h["word"])).alias("p"), F.concat(F.transform("hits", lambda h: h["word"]), F.array(F.lit(-2))).alias("n")),
+        F.arrays_zip(kept_from.alias("a"), kept_to.alias("b"), F.concat(F.array(F.lit(-2)), words).alias("p"), F.concat(words, F.array(F.lit(-2))).alias("n")),
         lambda z: F.when(z["n"] == z["p"] + 1, F.lit("")).otherwise(
-            F.decode(F.substring(raw, z["a"] + 1, z["b"] - z["a"]), "UTF-8")
+            F.substring(raw, z["a"] + 1, z["b"] - z["a"]).cast("string")
         ),
     )
-    return F.when(F.size("hits") > 0, F.array_join(pieces, "")).otherwise(F.col(text))
+    return F.when(F.size(hits) > 0, F.array_join(pieces, "")).otherwise(whole)

@@ -173,6 +173,20 @@ def test_decontamination(spark, docs, empty):
     assert all(not r["hits"] for r in decontaminate.contamination(docs, items.limit(0)).collect())
 
 
+def test_benchmark_is_cut_from_documents(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    passage = " ".join(f"Wörd{i}" for i in range(12))
+    rows = [(1, f"ä, {passage}! öü {passage}ß"), (2, passage), (3, "ü clean"), (4, ""), (5, None), (None, f"{passage}. é é"), (1, f"é {passage}")]
+    docs = spark.createDataFrame([(i, t, "de", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(7, passage.lower().replace("Ö", "ö"))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    cut = corpus_pipeline.cut_benchmark(spark, docs, str(tmp_path))
+    assert cut.columns == docs.columns
+    last = " ".join(passage.split()[-1:])
+    got = Counter((r["doc_id"], r["text"], r["n_chars"]) for r in cut.collect())
+    texts = [(1, f"ä, ! öü  {last}ß"), (3, "ü clean"), (4, ""), (5, None), (None, ". é é"), (1, "é ")]
+    assert got == Counter((i, t, None if t is None else len(t)) for i, t in texts)
+
+
 def test_byte_bpe(docs, empty):
     tiktoken = pytest.importorskip("tiktoken")
     path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
