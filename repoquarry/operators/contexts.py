@@ -111,7 +111,8 @@ def _partial_sums(size: int):
             right, n_right = roles.sums("RIGHT", batch.column("right"))
             center = batch.column("token")
             vectors = (roles.rows("CENTER", center) + left + right) / (1 + n_left + n_right)[:, None]
-            vectors *= (batch.column("n").to_numpy() / np.linalg.norm(vectors, axis=1))[:, None]
+            length = np.linalg.norm(vectors, axis=1)
+            vectors *= (batch.column("n").to_numpy() / np.where(length > 0, length, 1.0))[:, None]
             coded = center.dictionary_encode()
             which = coded.indices.to_numpy(zero_copy_only=False)
             for i, token in enumerate(coded.dictionary.to_pylist()):

@@ -27,6 +27,15 @@ def _open(root: str) -> tuple[pafs.FileSystem, str]:
     return file_system, base.rstrip("/")
 
 
+def _resolved(spark: SparkSession, root: str) -> str:
+    """A root without a scheme is meant as Spark's readers mean it: in the default file system."""
+    if "://" in root:
+        return root
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else uri.toString()
+
+
 def _list_folders(root: str):
     """Entries of folders given relative to the root; nothing below .git is listed."""
 
@@ -60,6 +69,7 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
 
     Runs one job per folder depth; levels are kept in the shared folder.
     """
+    root = _resolved(spark, root)
     tasks = spark.sparkContext.defaultParallelism
     folders = spark.createDataFrame([("",)], "path STRING")
     levels = []
@@ -102,6 +112,7 @@ def _count_lines(file_system: pafs.FileSystem, address: str) -> int:
 
 def measure_sources(files: DataFrame, root: str) -> DataFrame:
     """(repository, file_path, size_bytes, loc) of source files, read in chunks by the tasks."""
+    root = _resolved(files.sparkSession, root)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file_system, base = _open(root)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -80,6 +81,12 @@ def test_tree_sources(spark, export):
     }
 
 
+def test_tree_of_a_relative_root(spark, export):
+    root = os.path.relpath(export / "trees")
+    rows = tree.measure_sources(tree.files_of(tree.scan(spark, root)), root).collect()
+    assert ("beta", "main.c", 1) in {(r.repository, r.file_path, r.loc) for r in rows} and len(rows) == 5
+
+
 def test_commit_log(spark, export):
     rows = commit_log.read_commits(spark, str(export / "commits/*")).filter("repository = 'alpha'")
     got = {r.commit_hash: (r.author, r.month) for r in rows.collect()}
