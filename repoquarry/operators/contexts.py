@@ -112,7 +112,7 @@ def _partial_sums(size: int):
             center = batch.column("token")
             vectors = (roles.rows("CENTER", center) + left + right) / (1 + n_left + n_right)[:, None]
             length = np.linalg.norm(vectors, axis=1)
-            vectors *= (batch.column("n").to_numpy() / np.where(length > 0, length, 1.0))[:, None]
+            vectors /= np.where(length > 0, length, 1.0)[:, None]
             coded = center.dictionary_encode()
             which = coded.indices.to_numpy(zero_copy_only=False)
             for i, token in enumerate(coded.dictionary.to_pylist()):
@@ -137,11 +137,10 @@ def structural_vectors(selected: DataFrame, contexts: DataFrame, size: int = VEC
     """Unit mean of the context vectors of each selected token, the zero vector without any context.
 
     A context vector is the unit mean of the hashed vectors of the token, its left and its right
-    neighbours, each hashed under its role. Equal contexts are counted first; every task then sends
-    one partial sum per token, so a token with very many occurrences does not fill one task.
+    neighbours, each hashed under its role. Every task sends one partial sum per token, so contexts are
+    not shuffled and a token with very many occurrences does not fill one task.
     """
-    counted = contexts.groupBy("token", "left", "right").agg(F.count(F.lit(1)).alias("n"))
-    texts = counted.select("token", _separate("left").alias("left"), _separate("right").alias("right"), "n")
+    texts = contexts.select("token", _separate("left").alias("left"), _separate("right").alias("right"))
     parts = texts.mapInArrow(_partial_sums(size), "token STRING, part ARRAY<DOUBLE>")
     slots = parts.select("token", F.posexplode("part").alias("slot", "value"))
     sums = slots.groupBy("token", "slot").agg(F.sum("value").alias("value"))
