@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from repoquarry.session import ship_package
 
 _BASE = 0x100  # character of byte 0; 0x100 to 0x1FF have no special meaning to the library
 _MAP = {b: chr(_BASE + b) for b in range(256)}
-CACHE = 400_000  # different pre-tokens a task remembers; it forgets all when full
+CACHE = 1 << 17  # different pre-tokens a task remembers; it forgets all when full
 _WORTH = 64  # bytes; longer pre-tokens are encoded each time
 
 
@@ -66,20 +66,27 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 
 
 class Codec:
-    """Encoder and decoder of one task."""
+    """Encoder and decoder of one task; each is made when it is first used."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
-        import sentencepiece
 
-        self._model = sentencepiece.SentencePieceProcessor(model_proto=serialise(ranks))
         order = sorted(ranks.values())
         self._rank_of_piece = np.array([0, *order], "<u4")
         self._whole = ranks
         self._find = regex.compile(pattern).findall
-        self._tokens = {r: t for t, r in ranks.items()}
         self._known: dict[str, bytes] = {}
 
+    @cached_property
+    def _model(self):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=serialise(self._whole))
+
+    @cached_property
+    def _tokens(self) -> dict[int, bytes]:
+        return {r: t for t, r in self._whole.items()}
+
     def _of(self, piece: str) -> bytes:
         raw = piece.encode()
         rank = self._whole.get(raw)

@@ -20,6 +20,7 @@ from repoquarry.session import materialize
 
 NO_ID = 2**63 - 1  # stands for a null id: sorts last
 BROADCAST_BYTES = 32 << 20  # largest table handed to every executor
+SLICE = 1 << 20  # bytes of text worked on at once where nothing is gained by more
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 

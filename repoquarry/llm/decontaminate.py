@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repoquarry.llm.common import Rolling, batch_of, slices, utf8, with_fields
+from repoquarry.llm.common import SLICE, Rolling, batch_of, slices, utf8, with_fields
 from repoquarry.session import drop_table, materialize, ship_package
 
 WINDOW = 10
@@ -138,7 +138,7 @@ def _with_hits(docs: DataFrame, text: str, held, kind: str, first: bool) -> Data
     def scan(batches):
         grams = held.value
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, SLICE):
                 words, places, items = _scan(batch, text, grams)
                 if not first:
                     before = batch.column("hits").to_pylist(), batch.column("items").to_pylist()

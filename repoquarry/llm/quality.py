@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repoquarry.llm.common import Rolling, batch_of, slices, utf8, with_fields
+from repoquarry.llm.common import SLICE, Rolling, batch_of, slices, utf8, with_fields
 from repoquarry.session import materialize, ship_package
 
 SLOTS, WIDTH, SIGNS, REACH, HIDDEN, SEED = 1 << 15, 48, 6, 2, 32, 17
@@ -80,7 +80,7 @@ def context_sums(texts: DataFrame, text: str) -> np.ndarray:
     def run(batches):
         index, total = index_vectors(), np.zeros((SLOTS, WIDTH), np.float32)
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, SLICE):
                 slots, at = token_slots(batch, text)
                 row = np.repeat(np.arange(batch.num_rows), np.diff(at))
                 for reach in range(1, REACH + 1):
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "_text"):
+            for batch in slices(whole, "_text", SLICE):
                 x = pooled(batch, "_text", held.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id"), batch.column("_label"), pa.array([v.tobytes() for v in x], pa.binary())], ["_id", "_label", "x"]
@@ -199,7 +199,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     def run(batches):
         vectors, network = held.value
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, SLICE):
                 score = network(pooled(batch, text, vectors))
                 yield batch_of(batch, schema, {"score": pa.array(score), "predicted": pa.array((score >= threshold).astype(np.int32))})
 

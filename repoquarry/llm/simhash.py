@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repoquarry.llm.common import NO_ID, batch_of, id_of, slices, utf8, with_fields
+from repoquarry.llm.common import SLICE, NO_ID, batch_of, id_of, slices, utf8, with_fields
 from repoquarry.llm.components import components
 from repoquarry.session import drop_table, materialize, ship_package
 
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, ke
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, SLICE):
                 data, at = utf8(batch.column(text))
                 marks = [fingerprint(data[a:b].tobytes(), shingle) for a, b in zip(at, at[1:], strict=False)]
                 yield batch_of(batch, schema, {"simhash": pa.array(np.array(marks, np.uint64).view(np.int64))})
