@@ -22,12 +22,12 @@ def write_sorted_csv(df: DataFrame, path: str, columns: Sequence[str], order: Se
 def write_combined(df: DataFrame, path: str) -> None:
     """Partitioned by repository, so that later reads of some repositories skip the others.
 
-    Rows are spread by file path too, so that one huge repository is written by many tasks.
+    Rows are rebalanced: a huge repository is written by as many tasks as its bytes ask for, and
+    small ones share a task, each with one file.
     """
-    tasks = F.pmod(F.xxhash64("file_path"), F.lit(32))
     (
         df.select(*schemas.COMBINED_COLUMNS)
-        .repartition("repository", tasks)
+        .hint("rebalance", "repository")
         .write.mode("overwrite")
         .partitionBy("repository")
         .parquet(path)
