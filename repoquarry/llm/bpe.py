@@ -17,12 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from repoquarry.llm.common import batch_of, slices, with_fields
+from repoquarry.llm.common import SLICE, batch_of, slices, with_fields
 from repoquarry.session import ship_package
 
 _BASE = 0x100  # character of byte 0; 0x100 to 0x1FF have no special meaning to the library
 _MAP = {b: chr(_BASE + b) for b in range(256)}
 CACHE = 1 << 17  # different pre-tokens a task remembers; it forgets all when full
+_LONG = 1 << 18  # characters; the pre-tokens of longer texts are not listed at once
 _WORTH = 64  # bytes; longer pre-tokens are encoded each time
 
 
@@ -74,7 +75,7 @@ class Codec:
         order = sorted(ranks.values())
         self._rank_of_piece = np.array([0, *order], "<u4")
         self._whole = ranks
-        self._find = regex.compile(pattern).findall
+        self._pattern = regex.compile(pattern)
         self._known: dict[str, bytes] = {}
 
     @cached_property
@@ -103,7 +104,13 @@ class Codec:
     def encode(self, text: str) -> bytes:
         """The packed ids."""
         known, of = self._known.get, self._of
-        return b"".join([known(piece) or of(piece) for piece in self._find(text)])
+        if len(text) > _LONG:
+            return b"".join(known(m[0]) or of(m[0]) for m in self._pattern.finditer(text))
+        return b"".join([known(piece) or of(piece) for piece in self._pattern.findall(text)])
+
+    def forget(self) -> None:
+        """Give the memory of seen pre-tokens back: the task's Python outlives the task."""
+        self._known = {}
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self._tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -123,10 +130,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep_te
     def run(batches):
         codec = _codec(path, pattern)
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, SLICE):
                 ids = [codec.encode(t or "") for t in batch.column(text).to_pylist()]
                 added = {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "token_ids": pa.array(ids, pa.binary())}
                 yield batch_of(batch, schema, added)
+        codec.forget()
 
     return docs.mapInArrow(run, schema)
 

@@ -47,7 +47,13 @@ def token_slots(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarra
     starts, ends = bounds[:-1], bounds[1:]
     token = kind[starts + 1] > 0 if len(starts) else np.zeros(0, bool)
     starts, ends = starts[token], ends[token]
-    slots = (Rolling(data).of(starts, ends) >> np.uint64(49)).astype(np.int64)
+    slots = np.zeros(len(starts), np.int64)
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + SLICE, SLICE))
+    for a, b in zip(cuts, cuts[1:], strict=False):  # a long text is hashed part by part
+        if a < b:
+            low = starts[a]
+            hashes = Rolling(data[low : ends[b - 1]]).of(starts[a:b] - low, ends[a:b] - low)
+            slots[a:b] = (hashes >> np.uint64(49)).astype(np.int64)
     return slots, np.searchsorted(starts, at)
 
 
