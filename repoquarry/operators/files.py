@@ -70,22 +70,23 @@ def tree_totals(
 
     ``folders`` lists the folders themselves, empty ones too; without it they follow from the files.
     """
+    one, measures = F.lit(1), ("total_files", "source_code_files", "directories", "total_loc")
+
+    def counting(df: DataFrame, **counted) -> DataFrame:
+        """Rows with what they add to each measure, so that one grouping sums all of them."""
+        return df.select(*keys, *[counted.get(m, F.lit(0)).cast("bigint").alias(m) for m in measures])
+
     if folders is None:
-        directories = folder_counts(files, keys)
+        directories = counting(folder_counts(files, keys), directories=F.col("directories"))
     else:
-        directories = folders.groupBy(*keys).agg(F.count(F.lit(1)).alias("directories"))
-    all_files = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_files"))
-    sources = metrics.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("source_code_files"), F.sum("loc").alias("total_loc")
-    )
-    joined = all_files.join(sources, list(keys), "left").join(directories, list(keys), "left")
-    zero = F.lit(0).cast("bigint")
-    filled = joined.select(
-        *keys,
-        "total_files",
-        *[F.coalesce(c, zero).alias(c) for c in ("source_code_files", "directories", "total_loc")],
+        directories = counting(folders, directories=one)
+    rows = (
+        counting(files, total_files=one)
+        .unionByName(counting(metrics, source_code_files=one, total_loc=F.coalesce("loc", F.lit(0))))
+        .unionByName(directories)
     )
-    return filled.withColumn(
+    sums = rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return sums.filter(F.col("total_files") > 0).withColumn(
         "average_loc_per_source_file", ratio(F.col("total_loc"), F.col("source_code_files"))
     )
 

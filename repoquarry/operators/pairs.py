@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repoquarry.functions.vectors import cosine
+from repoquarry.operators.ranking import first_n_per_key
 from repoquarry.session import materialize
 
 BLOCK_ROWS = 1024
@@ -160,6 +161,12 @@ def mean_vectors(vectors: DataFrame, key: str, vec: str = "vec") -> DataFrame:
     return means.groupBy(key).agg(F.transform(ordered, lambda x: x["value"]).alias("vec"))
 
 
+def top_per_approach(listings: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` most similar pairs of each approach, with their rank from 1."""
+    order = [F.desc("similarity"), F.asc("idx_1"), F.asc("idx_2")]
+    return first_n_per_key(listings, ["approach"], order, n, rank="rank")
+
+
 def compare_approaches(listings: DataFrame) -> DataFrame:
     """Highest, lowest and average similarity per approach; an approach without pairs has no row."""
     return listings.groupBy("approach").agg(

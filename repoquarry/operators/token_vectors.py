@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from repoquarry.functions import vectors as vx
 from repoquarry.functions.arrays import open_places
 from repoquarry.operators.ranking import rank_ids
-from repoquarry.session import settle
+from repoquarry.session import materialize, settle
 
 VECTOR_SIZE = 128
 # Weights of the mean, spread, first and last position in a position vector.
@@ -132,18 +132,18 @@ def frequency_components(selected: DataFrame, files: DataFrame) -> DataFrame:
 def position_features(selected: DataFrame, sequences: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Where the selected tokens stand in their sequences (0 first, 1 last, 0.5 if alone).
 
-    A selection of checked size is broadcast, so that tokens are dropped right after the arrays are
-    opened; partial averages are made before the shuffle. Tokens never met get 0.5 and no spread.
-    Runs a job for the selection.
+    The selection is written once, so its size is known: Spark broadcasts a small one by itself and
+    drops all other tokens right after the arrays are opened. Partial averages are made before the
+    shuffle. Tokens never met get 0.5 and no spread. Runs a job for the selection.
     """
-    selected, small = settle(selected.select("idx", "token"))
+    selected, _ = materialize(selected.select("idx", "token"), "selection")
     wanted = selected.select("token")
     opened = open_places(sequences, F.col(tokens), "token")
     place = F.when(F.col("n") == 1, F.lit(0.5)).otherwise(
         F.col("pos") / F.greatest(F.col("n") - 1, F.lit(1))
     )
     stats = (
-        opened.join(F.broadcast(wanted) if small else wanted, "token")
+        opened.join(wanted, "token")
         .groupBy("token")
         .agg(
             F.avg(place).alias("mean_position"),

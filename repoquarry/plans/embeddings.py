@@ -22,10 +22,13 @@ def embed_and_compare(
     frequency: DataFrame,
     model: bo.BpeModel,
     ranks: Sequence[int],
+    partitions: int,
     epochs: int = skipgram.EPOCHS,
-    partitions: int | None = None,
 ) -> dict[str, DataFrame]:
-    """``files`` has (repository, file_path). Paths are encoded once, for all approaches. Runs jobs."""
+    """``files`` has (repository, file_path). Paths are encoded once, for all approaches. Runs jobs.
+
+    ``partitions`` tasks train the skip-gram vectors, which depend on their number.
+    """
     ship_package(files.sparkSession)
     chosen = sel.select_tokens(frequency, ranks, len(ranks)).select("idx", "token").collect()
     selected = files.sparkSession.createDataFrame(chosen, "idx INT, token STRING")
@@ -36,7 +39,7 @@ def embed_and_compare(
 
     contexts = co.require_contexts(co.token_contexts(sequences, tokens, keep=("file_path",)))
     words = skipgram.train(
-        skipgram.training_sequences(sequences), epochs=epochs, partitions=partitions
+        skipgram.training_sequences(sequences), partitions, epochs=epochs
     )
     features = tv.position_features(selected, sequences)
     vectors = {
@@ -48,7 +51,7 @@ def embed_and_compare(
     listings = reduce(
         DataFrame.unionByName,
         [
-            po.pair_listing(v.select("idx", "token", "vec"), blocks=1).withColumn("approach", F.lit(name))
+            po.pair_listing(v.select("idx", "token", "vec")).withColumn("approach", F.lit(name))
             for name, v in vectors.items()
         ],
     )
@@ -58,6 +61,7 @@ def embed_and_compare(
         "contexts": co.context_text(contexts),
         "unknown_tokens": skipgram.unknown_tokens(selected, words),
         "similarity": listings,
+        "most_similar": po.top_per_approach(listings),
         "comparison": po.compare_approaches(listings),
         **{f"{name.lower()}_vectors": v.select("idx", "token", "vec") for name, v in vectors.items()},
     }

@@ -57,8 +57,8 @@ def mine_folders(
     spark: SparkSession, trees: str, commit_logs: str, change_logs: str, window: int = ho.HISTORY_WINDOW
 ) -> dict[str, DataFrame]:
     """The same from exports: <trees>/<repository>/..., and log files one folder per repository."""
-    recent = ho.latest_commits(commit_log.read_changes(spark, change_logs), window)
     ship_package(spark)
+    recent, _ = materialize(ho.latest_commits(commit_log.read_changes(spark, change_logs), window), "recent")
     entries = tree.scan(spark, trees)
     listing = tree.files_of(entries)
     sources, _ = materialize(tree.measure_sources(listing, trees), "sources")

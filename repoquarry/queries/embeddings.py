@@ -19,6 +19,8 @@ from repoquarry.queries import inputs as q
 from repoquarry.queries import tokens as qt
 from repoquarry.session import settle
 
+TRAINERS = 8  # tasks that train skip-gram vectors
+
 
 def _selected(spark: SparkSession, sf: str) -> DataFrame:
     """(idx, rank, token, frequency) of 20 chosen words."""
@@ -75,15 +77,15 @@ def position_embedding(spark, sf):
     return _slots(tv.position_vectors(features), "token")
 
 
-def _frequency_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    selected, _ = _fixed(_selected(spark, sf))
+def _frequency_vectors(spark: SparkSession, sf: str, selected: DataFrame) -> DataFrame:
     frequency = selected.select("token", "frequency")
     files = q.document_files(spark, sf).select("repository")
     return tv.frequency_vectors(tv.token_frequencies(selected, frequency), files)
 
 
 def frequency_embedding(spark, sf):
-    return _slots(_frequency_vectors(spark, sf), "token")
+    selected, _ = _fixed(_selected(spark, sf))
+    return _slots(_frequency_vectors(spark, sf, selected), "token")
 
 
 def frequency_components(spark, sf):
@@ -99,17 +101,29 @@ def token_contexts(spark, sf):
     return co.context_text(found).select("doc_id", "pos", "token", "left_context", "right_context")
 
 
-def similarity_comparison(spark, sf):
-    """Two kinds of vectors over the same chosen words."""
-    position = tv.position_vectors(qt.word_positions(spark, sf, _selected(spark, sf)))
-    parts = [("Frequency", _frequency_vectors(spark, sf)), ("Position", position)]
+def _listings(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs under two kinds of vectors over the same chosen words."""
+    selected, _ = _fixed(_selected(spark, sf))
+    position = tv.position_vectors(qt.word_positions(spark, sf, selected))
+    parts = [("Frequency", _frequency_vectors(spark, sf, selected)), ("Position", position)]
     listings = [
         po.pair_listing(v.select("idx", "token", "vec"), blocks=1).withColumn("approach", F.lit(name)) for name, v in parts
     ]
-    out = po.compare_approaches(listings[0].unionByName(listings[1]))
+    return listings[0].unionByName(listings[1])
+
+
+def similarity_comparison(spark, sf):
+    """Two kinds of vectors compared."""
+    out = po.compare_approaches(_listings(spark, sf))
     return out.select("approach", *[F.round(c, 6).alias(c) for c in out.columns if c != "approach"])
 
 
+def top_pairs_per_approach(spark, sf):
+    """The five most similar pairs under each kind of vectors."""
+    top = po.top_per_approach(_listings(spark, sf))
+    return top.select("approach", "rank", "token_1", "token_2", F.round("similarity", 6).alias("similarity"))
+
+
 def hash_vectors(spark, sf):
     """A fixed vector for every different word."""
     return tv.hash_vectors(qt.word_frequency(spark, sf).select("token"))
@@ -137,13 +151,13 @@ def word2vec_vectors(spark, sf):
     files, frequency, model = _path_model(spark, sf)
     sequences = skipgram.training_sequences(bo.with_path_tokens(files, model))
     selected = sel.ranked_top(frequency).select((F.col("rank") - 1).cast("int").alias("idx"), "token")
-    return skipgram.selected_vectors(selected, skipgram.train(sequences))
+    return skipgram.selected_vectors(selected, skipgram.train(sequences, TRAINERS))
 
 
 def stage_four(spark, sf):
     """The whole stage over paths: four kinds of vectors compared."""
     files, frequency, model = _path_model(spark, sf)
-    return plan.embed_and_compare(files, frequency, model, list(range(1, 21)))["comparison"]
+    return plan.embed_and_compare(files, frequency, model, list(range(1, 21)), TRAINERS)["comparison"]
 
 
 QUERIES = {
@@ -158,6 +172,7 @@ QUERIES = {
         frequency_components,
         token_contexts,
         similarity_comparison,
+        top_pairs_per_approach,
         hash_vectors,
         random_vectors,
         structural_embedding,
@@ -228,6 +243,16 @@ SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, token,
   array_to_string(tokens[greatest(i - 2, 1):i - 1], ' ') AS left_context,
   array_to_string(tokens[i + 1:i + 2], ' ') AS right_context
 FROM placed WHERE token IN (SELECT token FROM selected)""",
+    "top_pairs_per_approach": f"""WITH {_POSITION}, {_FREQUENCY},
+listed AS (
+  SELECT 'Frequency' AS approach, * FROM frequency_vectors
+  UNION ALL SELECT 'Position', idx, token, vec FROM vectors),
+compared AS (
+  SELECT a.approach, a.idx AS idx_1, b.idx AS idx_2, a.token AS token_1, b.token AS token_2,
+    list_cosine_similarity(a.vec, b.vec) AS s
+  FROM listed a JOIN listed b ON a.approach = b.approach AND a.idx < b.idx)
+SELECT approach, row_number() OVER w AS rank, token_1, token_2, round(s, 6) AS similarity FROM compared
+WINDOW w AS (PARTITION BY approach ORDER BY s DESC, idx_1, idx_2) QUALIFY row_number() OVER w <= 5""",
     "similarity_comparison": f"""WITH {_POSITION}, {_FREQUENCY}
 {_summary_sql("Frequency", "frequency_vectors")}
 UNION ALL {_summary_sql("Position", "vectors")}""",

@@ -74,6 +74,16 @@ def history_stats(spark, sf):
     return _rounded(so.history_statistics(counts))
 
 
+def source_stats_untidy(spark, sf):
+    """Statistics of rows as they come in: fractions count in full, texts that are no numbers do not."""
+    return _rounded(so.source_statistics(q.untidy_lines(spark, sf)))
+
+
+def history_stats_untidy(spark, sf):
+    rows = q.untidy_lines(spark, sf).select("repository", "file_path", F.col("loc").alias("change_count"))
+    return _rounded(so.history_statistics(rows))
+
+
 def combined_stats(spark, sf):
     return _rounded(so.combined_statistics(_combined(spark, sf)))
 
@@ -89,6 +99,8 @@ QUERIES = {
         largest_combined,
         source_stats,
         history_stats,
+        source_stats_untidy,
+        history_stats_untidy,
         combined_stats,
     )
 }
@@ -98,7 +110,7 @@ def _stats(parts: list[tuple[str, str, str, str]], source: str) -> str:
     """One SELECT per statistic: (section, key expression, kind, expression)."""
     selects = []
     for section, key, kind, expression in parts:
-        amount = f"CAST({expression} AS BIGINT)" if kind == "amount" else "NULL::BIGINT"
+        amount = f"CAST(trunc(CAST({expression} AS DECIMAL(38, 2))) AS BIGINT)" if kind == "amount" else "NULL::BIGINT"
         average = f"round({expression}, 6)" if kind == "average" else "NULL::DOUBLE"
         group = "" if key == "''" else f" GROUP BY {key}"
         selects.append(
@@ -153,6 +165,14 @@ _LINES = """lines AS (
     '.py' AS extension, CAST(l_quantity AS BIGINT) AS loc, l_suppkey AS size_bytes, l_linenumber,
     l_orderkey, l_suppkey, l_quantity, l_linestatus FROM lineitem WHERE l_linenumber NOT IN (1, 2, 3))"""
 
+_UNTIDY = """untidy AS (
+  SELECT chr(9) || l_returnflag || ' ' AS repository, 'part\\' || l_partkey || '.py' AS file_path,
+    l_linestatus AS language, '.py' AS extension,
+    CASE WHEN l_linenumber IN (1, 2) THEN NULL WHEN l_linenumber = 3 THEN -CAST(l_quantity AS INT)
+      WHEN l_linenumber = 4 THEN CAST(l_quantity AS INT) + 0.75 ELSE CAST(l_quantity AS INT) END AS loc,
+    CASE WHEN l_linenumber <> 5 THEN l_suppkey END AS size_bytes FROM lineitem),
+untidy_history AS (SELECT repository, file_path, loc AS change_count FROM untidy)"""
+
 ORACLE = {
     "clean_source": f"""WITH {_LINES}
 SELECT repository, file_path, language, extension, loc, size_bytes FROM lines WHERE l_linenumber <> 5
@@ -170,5 +190,7 @@ ORDER BY change_count DESC, repository, file_path LIMIT 10""",
 ORDER BY loc DESC, repository, file_path LIMIT 10""",
     "source_stats": f"WITH {q.FILES_SQL} {_stats(_SOURCE, 'metrics')}",
     "history_stats": f"WITH {q.COMMITS_SQL} {_stats(_HISTORY, 'change_counts')}",
+    "source_stats_untidy": f"WITH {_UNTIDY} {_stats(_SOURCE, 'untidy')}",
+    "history_stats_untidy": f"WITH {_UNTIDY} {_stats(_HISTORY, 'untidy_history')}",
     "combined_stats": f"WITH {q.COMBINED_SQL} {_stats(_COMBINED, 'combined')}",
 }

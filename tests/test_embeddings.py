@@ -137,11 +137,14 @@ def test_stages_three_and_four(spark):
     assert out["improvement_statistics"].first().total_pairs_analyzed == 190
     assert out["character_vocabulary"].filter("token_id = 1").count() == 1
     ranks = list(range(1, 9))
-    four = embeddings.embed_and_compare(files, out["subword_frequency"], out["model"], ranks, epochs=2)
+    four = embeddings.embed_and_compare(files, out["subword_frequency"], out["model"], ranks, partitions=1, epochs=2)
     comparison = {r.approach: r for r in four["comparison"].collect()}
     assert set(comparison) == {"Frequency", "Position", "Word2Vec", "Code2Vec"}
     assert all(-1.0000001 <= r.lowest_similarity <= r.highest_similarity <= 1.0000001 for r in comparison.values())
     assert four["similarity"].count() == 4 * 28
+    best = four["most_similar"].collect()
+    assert sorted((r.approach, r["rank"]) for r in best) == [(a, n) for a in sorted(comparison) for n in range(1, 6)]
+    assert all(r.similarity == comparison[r.approach].highest_similarity for r in best if r["rank"] == 1)
     sequences = pieces.with_path_tokens(files, out["model"])
     assert "\\" not in "".join(t for r in sequences.collect() for t in r.tokens)
     assert vocabulary.token_profile(sequences).count() > 8
