@@ -155,6 +155,61 @@ def test_near_lines_are_linked(spark):
     assert got == {1: 0, 2: 0, 3: 1}
 
 
+def brute_lines(rows):
+    """n_lines, kept text and removed lines of each row by all pairs of different lines."""
+    places = {}
+    for i, t in rows:
+        for n, raw in enumerate((t or "").split("\n")):
+            if raw.strip(" "):
+                places.setdefault(raw.strip(" ").lower(), []).append((i, n))
+    sets = {x: {x[j : j + 16] for j in range(max(1, len(x) - 15))} for x in places}
+    root = {x: x for x in places}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, a in sets.items():
+        for y, b in sets.items():
+            if x < y and len(a & b) >= 0.8 * len(a | b) - 1e-9:
+                root[find(x)] = find(y)
+    groups = {}
+    for x, at in places.items():
+        groups.setdefault(find(x), []).extend(at)
+    stays = {p: min(at) for at in groups.values() for p in at}
+    out = {}
+    for i, t in rows:
+        parts = (t or "").split("\n")
+        gone = [(n, *stays[i, n]) for n in range(len(parts)) if stays.get((i, n), (i, n)) != (i, n)]
+        left = "\n".join(x for n, x in enumerate(parts) if n not in {g[0] for g in gone})
+        out[i] = (sum(bool(x.strip(" ")) for x in parts), gone, left)
+    return out
+
+
+def check_lines(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_lines"], [tuple(x) for x in r["removed"]], r["kept"]) for r in lines.dedup_lines(table).collect()}
+    assert got == brute_lines(rows)
+    return got
+
+
+def test_lines_without_blanks_and_long_words(spark):
+    rng = random.Random(8)
+
+    def word(n):
+        return "".join(rng.choice("abcdefgh漢字線文𝒳") for _ in range(n))
+
+    host = "https://example.org/catalogue/"
+    rows = [(i, "\n".join(host + word(40) for _ in range(4))) for i in range(6)]
+    long = [word(30) for _ in range(5)]
+    other = [w[:20] + word(10) for w in long]  # equal in the first characters of all words
+    rows += [(10, " ".join(long)), (11, " ".join(other)), (12, word(400)), (13, "ab"), (14, "AB \n" + word(16))]
+    rows += [(20, rows[8][1] + "x"), (21, rows[0][1].split("\n")[0] + "/"), (22, " ".join(long) + "\n" + word(17))]
+    got = check_lines(spark, rows)
+    assert [i for i in got if got[i][1]] and not any(got[i][1] for i in got if i < 13)
+
+
 def test_decontamination(spark, docs, empty):
     text = corpus()[0][1]
     passage = " ".join(text.split()[3:20]).upper().replace("É", "é").replace("SS", "ß")
