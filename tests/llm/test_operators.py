@@ -210,6 +210,19 @@ def test_lines_without_blanks_and_long_words(spark):
     assert [i for i in got if got[i][1]] and not any(got[i][1] for i in got if i < 13)
 
 
+def test_all_pairs_of_a_bucket_are_verified(spark):
+    rng = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9))) for _ in range(n))
+
+    # a template that holds the smallest hashes of many different lines, and a near copy of some of them
+    template = words(25)
+    ends = [words(12) for _ in range(60)]
+    texts = [f"{template} {e}" for e in ends] + [f"{template} {e} {words(1)}" for e in ends[:25]] + [template] * 3
+    check_lines(spark, list(enumerate(texts)))
+
+
 def test_decontamination(spark, docs, empty):
     text = corpus()[0][1]
     passage = " ".join(text.split()[3:20]).upper().replace("É", "é").replace("SS", "ß")
