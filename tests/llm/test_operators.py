@@ -160,8 +160,8 @@ def brute_lines(rows):
     places = {}
     for i, t in rows:
         for n, raw in enumerate((t or "").split("\n")):
-            if raw.strip(" "):
-                places.setdefault(raw.strip(" ").lower(), []).append((i, n))
+            if raw.strip(" \t\r\v\f"):
+                places.setdefault(raw.strip(" \t\r\v\f").lower(), []).append((i, n))
     sets = {x: {x[j : j + 16] for j in range(max(1, len(x) - 15))} for x in places}
     root = {x: x for x in places}
 
@@ -183,7 +183,7 @@ def brute_lines(rows):
         parts = (t or "").split("\n")
         gone = [(n, *stays[i, n]) for n in range(len(parts)) if stays.get((i, n), (i, n)) != (i, n)]
         left = "\n".join(x for n, x in enumerate(parts) if n not in {g[0] for g in gone})
-        out[i] = (sum(bool(x.strip(" ")) for x in parts), gone, left)
+        out[i] = (sum(bool(x.strip(" \t\r\v\f")) for x in parts), gone, left)
     return out
 
 
@@ -223,6 +223,11 @@ def test_all_pairs_of_a_bucket_are_verified(spark):
     check_lines(spark, list(enumerate(texts)))
 
 
+def test_white_space_around_lines(spark):
+    got = check_lines(spark, [(1, "x\r\n\r\n\t\r\n\ty\t\n\f"), (2, "\r\nx\n\t\n y\r\nz \t\n  ")])
+    assert got[1] == (2, [], "x\r\n\r\n\t\r\n\ty\t\n\f") and got[2] == (3, [(1, 1, 0), (3, 1, 3)], "\r\n\t\nz \t\n  ")
+
+
 def test_decontamination(spark, docs, empty):
     text = corpus()[0][1]
     passage = " ".join(text.split()[3:20]).upper().replace("É", "é").replace("SS", "ß")
