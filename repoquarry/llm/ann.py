@@ -8,7 +8,10 @@ distance in double precision.
 
 Width and number of probes are fitted on SAMPLE vectors at most: the width follows their median distance to
 the tenth neighbour, and probes are doubled until the sample's own neighbours are found with TARGET. Vectors
-become nearer the more there are, so the sample errs on the side of more probes.
+become nearer the more there are, so the sample errs on the side of more probes. If all probes do not reach TARGET,
+the width is doubled. Queries that found fewer than k rows, or the last of them beyond FAR times the distance
+that the width was fitted to, are searched again with a doubled width, DOUBLINGS times at most and as long as
+they are more than FEW; what is left meets all vectors.
 
 Equal vectors are one class with its smallest ids. Buckets are dealt into cells of a few thousand vectors; a
 bucket with more is split by vector, and its queries go to all of its splits. A cell meets its
@@ -20,7 +23,8 @@ Ids should be unique; of rows equal in id and vector one counts. Empty tables gi
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +38,7 @@ TABLES, PROJECTIONS, SEED = 10, 8, 23
 SAMPLE, SAMPLE_QUERIES, TARGET = 2_000, 60, 0.95
 MOST_PROBES = 3**PROJECTIONS  # every bucket whose numbers differ by one at most
 CELL = 2_000
+FAR, DOUBLINGS, FEW = 2, 3, 100
 _WIDTH = 1.35  # of the median distance to the tenth neighbour
 
 
@@ -109,15 +114,19 @@ def fit(sample: np.ndarray, k: int = 10) -> Hashes:
     if n < 2:
         return hashes
     all_sets = perturbations(MOST_PROBES)
-    hashes.sets = all_sets
-    place = np.full(near.shape, len(all_sets))  # first probe that finds a neighbour, over the tables
-    for t in range(TABLES):
-        names, own = hashes.probes(t, sample[queries]), hashes.buckets(t, sample)
-        for q in queries.tolist():
-            order = np.argsort(names[q], kind="stable")
-            sorted_ = names[q][order]
-            i = np.minimum(np.searchsorted(sorted_, own[near[q]]), len(order) - 1)
-            place[q] = np.minimum(place[q], np.where(sorted_[i] == own[near[q]], order[i], len(order)))
+    while True:
+        hashes.sets = all_sets
+        place = np.full(near.shape, len(all_sets))  # first probe that finds a neighbour, over the tables
+        for t in range(TABLES):
+            names, own = hashes.probes(t, sample[queries]), hashes.buckets(t, sample)
+            for q in queries.tolist():
+                order = np.argsort(names[q], kind="stable")
+                sorted_ = names[q][order]
+                i = np.minimum(np.searchsorted(sorted_, own[near[q]]), len(order) - 1)
+                place[q] = np.minimum(place[q], np.where(sorted_[i] == own[near[q]], order[i], len(order)))
+        if (place < len(all_sets)).mean() >= TARGET:
+            break
+        hashes.width *= 2
     count = 16
     while count < len(all_sets) and (place < count).mean() < TARGET:
         count *= 2
@@ -152,8 +161,54 @@ def nearest(vectors: DataFrame, queries, vec_id: str = "vec_id", embedding: str
     asking = rows.where("asks").select("id", "v").join(classes.select("class", "v"), "v").select("id", "class", "v")
     asking, _ = materialize(asking, "asking")
     drawn = classes.orderBy(F.xxhash64(F.lit(SEED), "class"), "class").limit(SAMPLE).collect()
-    hashes = spark.sparkContext.broadcast(fit(np.array([r["v"] for r in drawn], float), k))
-    cells = max(1, -(-classes.count() // CELL))
+    hashes = fit(np.array([r["v"] for r in drawn], float), k)
+    n_classes, n_ids = classes.agg(F.count("*"), F.sum(F.size("ids"))).first()
+    cells = max(1, -(-n_classes // CELL))
+    asked, found = asking.groupBy("class").agg(F.first("v").alias("v")), []
+    for turn in range(DOUBLINGS + 2):
+        last = turn > DOUBLINGS or (turn > 0 and asked.count() <= FEW)
+        members, _ = materialize(_search(classes, asked, None if last else hashes, cells, k), "found")
+        if last:
+            found.append(members)
+            break
+        reached = (F.count("*") >= min(k + 1, n_ids)) & (F.max("score") <= FAR * hashes.width / _WIDTH)
+        enough = members.groupBy("query").agg(reached.alias("enough")).where("enough").select("query")
+        found.append(members.join(enough, "query", "left_semi"))
+        asked, _ = materialize(asked.join(enough, F.col("class") == F.col("query"), "left_anti"), "asked")
+        if asked.isEmpty():
+            break
+        hashes = replace(hashes, width=2 * hashes.width)
+    own = asking.select(F.col("id").alias("query_id"), F.col("class").alias("query"))
+    results = own.join(reduce(DataFrame.union, found), "query").where("vec_id != query_id")
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = results.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _dealt(classes: DataFrame, asked: DataFrame, index, probe, cells: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the cells: vectors by their buckets, queries by the buckets they look into."""
+    stored = classes.select("class", "v").mapInArrow(index, "bucket bigint, class bigint, v binary")
+    full = stored.groupBy("bucket").count().where(F.col("count") > CELL)
+    full = joinable(full.select(F.col("bucket").alias("b"), F.ceil(F.col("count") / CELL).cast("int").alias("splits")), "buckets")
+    split = F.when(F.col("splits").isNotNull(), F.pmod(F.xxhash64("class"), F.col("splits"))).otherwise(0).cast("int")
+    table_cell = F.pmod("bucket", F.lit(cells)).alias("cell")
+    stored = stored.join(full, F.col("bucket") == F.col("b"), "left").select(table_cell, split.alias("split"), "bucket", "class", "v")
+    most = full.agg(F.coalesce(F.max("splits"), F.lit(1))).first()[0]
+    asked = asked.select("class", "v").mapInArrow(probe, "table int, cell bigint, query bigint, q binary, names binary")
+    # names of one table never meet another's: the table is part of a name
+    asked = asked.select("cell", "query", "q", "names")
+    if most > 1:
+        split_cells = full.select(F.pmod("b", F.lit(cells)).alias("cell"), "splits").groupBy("cell").agg(F.max("splits").alias("splits"))
+        asked = asked.join(F.broadcast(split_cells), "cell", "left")
+        asked = asked.withColumn("split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("splits") - 1, F.lit(0)))))
+    else:
+        asked = asked.withColumn("split", F.lit(0))
+    return stored, asked.select("cell", "split", "query", "q", "names")
+
+
+def _search(classes: DataFrame, asked: DataFrame, fitted: Hashes | None, cells: int, k: int) -> DataFrame:
+    """(query, score, vec_id): the k + 1 nearest ids found for each asked class; without hashes, of all classes."""
+    hashes = classes.sparkSession.sparkContext.broadcast(fitted)
 
     def packed(v: np.ndarray) -> list[bytes]:
         return [x.tobytes() for x in v]
@@ -190,23 +245,20 @@ def nearest(vectors: DataFrame, queries, vec_id: str = "vec_id", embedding: str
                         ["table", "cell", "query", "q", "names"],
                     )
 
-    stored = classes.select("class", "v").mapInArrow(index, "bucket bigint, class bigint, v binary")
-    full = stored.groupBy("bucket").count().where(F.col("count") > CELL)
-    full = joinable(full.select(F.col("bucket").alias("b"), F.ceil(F.col("count") / CELL).cast("int").alias("splits")), "buckets")
-    split = F.when(F.col("splits").isNotNull(), F.pmod(F.xxhash64("class"), F.col("splits"))).otherwise(0).cast("int")
-    table_cell = F.pmod("bucket", F.lit(cells)).alias("cell")
-    stored = stored.join(full, F.col("bucket") == F.col("b"), "left").select(table_cell, split.alias("split"), "bucket", "class", "v")
-    most = full.agg(F.coalesce(F.max("splits"), F.lit(1))).first()[0]
-    asked = asking.groupBy("class").agg(F.first("v").alias("v")).mapInArrow(probe, "table int, cell bigint, query bigint, q binary, names binary")
-    # names of one table never meet another's: the table is part of a name
-    asked = asked.select("cell", "query", "q", "names")
-    if most > 1:
-        split_cells = full.select(F.pmod("b", F.lit(cells)).alias("cell"), "splits").groupBy("cell").agg(F.max("splits").alias("splits"))
-        asked = asked.join(F.broadcast(split_cells), "cell", "left")
-        asked = asked.withColumn("split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("splits") - 1, F.lit(0)))))
+    def pack(batches):
+        for batch in batches:
+            v = np.array(batch.column("v").to_pylist(), float)
+            if len(v):
+                yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(packed(v), pa.binary())], ["class", "v"])
+
+    if fitted is None:
+        stored = classes.select("class", "v").mapInArrow(pack, "class bigint, v binary")
+        stored = stored.select(F.pmod(F.xxhash64("class"), F.lit(cells)).alias("cell"), F.lit(0).alias("split"), F.lit(0).cast("long").alias("bucket"), "class", "v")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell")
+        asked = asked.select("class", "v").mapInArrow(pack, "class bigint, v binary").select(every, F.col("class").alias("query"), F.col("v").alias("q"))
+        asked = asked.select("cell", F.lit(0).alias("split"), "query", "q", F.lit(bytes(8)).alias("names"))
     else:
-        asked = asked.withColumn("split", F.lit(0))
-    asked = asked.select("cell", "split", "query", "q", "names")
+        stored, asked = _dealt(classes, asked, index, probe, cells)
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
@@ -245,9 +297,4 @@ def nearest(vectors: DataFrame, queries, vec_id: str = "vec_id", embedding: str
     near = near.withColumn("r", F.row_number().over(by_query)).where(F.col("r") <= k + 1)
     members = near.join(classes.select("class", "ids"), "class").select("query", "score", F.explode("ids").alias("vec_id"))
     best = Window.partitionBy("query").orderBy("score", "vec_id")
-    members = members.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
-    own = asking.select(F.col("id").alias("query_id"), F.col("class").alias("query"))
-    results = own.join(members, "query").where("vec_id != query_id")
-    last = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = results.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return members.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")

@@ -348,6 +348,26 @@ def test_nearest(spark):
     assert ann.nearest(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("few", [100, 0])
+def test_nearest_in_thin_regions(spark, monkeypatch, few):
+    monkeypatch.setattr(ann, "FEW", few)
+    rng = np.random.default_rng(6)
+    vectors = np.concatenate([rng.normal(size=(400, 8)) * 0.01 + 5, rng.normal(size=(60, 8)) * 100, rng.normal(size=(5, 8)) * 1e5])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    queries = [0, 100, *range(400, 465, 5), 464]
+    got = ann.nearest(table, F.col("vec_id").isin(queries)).collect()
+    hit = 0
+    for q in queries:
+        far = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        far[q] = np.inf
+        mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+        assert [m[0] for m in mine] == list(range(1, 11))
+        hit += len({m[1] for m in mine} & set(np.argsort(far)[:10].tolist()))
+    assert hit >= 9 * len(queries)
+    pair = ann.nearest(table.where("vec_id in (0, 400, 464)"), F.col("vec_id") >= 0).collect()
+    assert Counter(r["query_id"] for r in pair) == {0: 2, 400: 2, 464: 2}
+
+
 def test_pipeline_stages(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     base = "/root/testdata/sf0.001"
