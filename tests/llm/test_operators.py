@@ -216,11 +216,20 @@ def test_all_pairs_of_a_bucket_are_verified(spark):
     def words(n):
         return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9))) for _ in range(n))
 
-    # a template that holds the smallest hashes of many different lines, and a near copy of some of them
+    def least(line):
+        hashes = {xxhash.xxh64_intdigest(line[j : j + 16], seed=42) for j in range(len(line) - 15)}
+        return sorted(h - (h >> 63 << 64) for h in hashes)[:4]
+
+    # many different lines with the smallest hashes of one template, and a near copy of each: all in the same buckets
     template = words(25)
-    ends = [words(12) for _ in range(60)]
-    texts = [f"{template} {e}" for e in ends] + [f"{template} {e} {words(1)}" for e in ends[:25]] + [template] * 3
-    check_lines(spark, list(enumerate(texts)))
+    texts = [template] * 3
+    while len(texts) < 63:
+        line = f"{template} {words(12)}"
+        near = f"{line} {words(1)}"
+        if least(line) == least(near) == least(template):
+            texts += [line, near]
+    got = check_lines(spark, list(enumerate(texts)))
+    assert sum(len(x[1]) for x in got.values()) == 32
 
 
 def test_white_space_around_lines(spark):
