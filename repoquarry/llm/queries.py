@@ -1,11 +1,11 @@
-"""The ten operators over the driver's tables, with SQL where it can say the same."""
+"""The thirteen operators over the driver's tables, with SQL where it can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repoquarry.llm import ann, bpe, chat, decontaminate, lattice, lines, quality, simhash, substring, suffixes
+from repoquarry.llm import ann, bpe, chat, decontaminate, fim, lattice, lines, quality, secrets, simhash, substring, suffixes, whitening
 from repoquarry.llm.common import remainder_is, table
 
 
@@ -89,6 +89,33 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    done = fim.fill_in_middle(_texts(spark, sf))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return done.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.find_secrets(_texts(spark, sf), keep_text=False)
+    base = F.filter("secrets", lambda s: s["base"])
+    count_of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count_of(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,9 +129,58 @@ QUERIES = {
         op8_decontamination,
         op9_simhash_components,
         op10_byte_bpe,
+        op11_fill_in_middle,
+        op12_embedding_whitening,
+        op13_secret_scan,
     )
 }
 
+
+
+def _secret_sql() -> str:
+    """Spans by pattern, then scopes of secrets joined with identifiers and endpoints of the same document."""
+    reach = secrets.REACH
+    finds, kinds = [], {name: [i for i, k in enumerate(secrets.KINDS) if k[1] == name] for name in ("secret", "identifier", "endpoint")}
+    for number, (_, _, _, pattern, (least, group, most, patterns)) in enumerate(secrets.KINDS):
+        quoted = pattern.replace("'", "''")
+        size = f"length(regexp_extract(m, '{quoted}', {group}))" if group else "length(m)"
+        tests = [f"{size} >= {least}", *([f"{size} <= {most}"] if most else []), *[f"regexp_matches(m, '{p}')" for p in patterns]]
+        finds.append(f"""SELECT k, {number} AS kind, e - length(m) AS s, e FROM (
+  SELECT k, m, sum(length(m) + length(b)) OVER (PARTITION BY k ORDER BY i) AS e FROM (
+    SELECT k, unnest(ms) AS m, unnest(bs[1:len(ms)]) AS b, unnest(range(len(ms))) AS i FROM (
+      SELECT k, regexp_extract_all(t, '{quoted}') AS ms, string_split_regex(t, '{quoted}') AS bs FROM d))
+) WHERE {" AND ".join(tests)}""")
+    among = {name: f"IN ({', '.join(map(str, numbers))})" for name, numbers in kinds.items()}
+    base = ", ".join(str(i) for i, k in enumerate(secrets.KINDS) if k[2])
+    names = "[" + ", ".join(f"'{k[0]}'" for k in secrets.KINDS) + "]"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = {i})::BIGINT AS n_{secrets.KINDS[i][0]}" for i in range(3))
+    return f"""
+WITH r AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents),
+d AS (SELECT k, t FROM r),
+a AS ({" UNION ALL ".join(finds)}),
+j AS (
+  SELECT x.k, x.kind AS xk, x.s AS xs, x.e AS xe, y.kind AS yk, y.s AS ys, y.e AS ye FROM a AS x, a AS y
+  WHERE x.k = y.k AND x.kind {among["secret"]} AND y.kind NOT {among["secret"]}
+    AND y.s >= greatest(x.s - {reach}, 0) AND y.s < x.e + {reach} AND (y.e <= x.s OR y.s >= x.e)
+),
+c AS (SELECT DISTINCT k, xk, xs, xe FROM j WHERE yk {among["identifier"]}),
+f AS (
+  SELECT k, kind, s, e FROM a WHERE kind IN ({base})
+  UNION SELECT k, xk, xs, xe FROM c
+  UNION SELECT k, yk, ys, ye FROM j WHERE yk {among["identifier"]}
+  UNION SELECT k, yk, ys, ye FROM j SEMI JOIN c USING (k, xk, xs, xe) WHERE yk {among["endpoint"]}
+),
+l AS (SELECT *, {names}[kind + 1] || ':' || s || ':' || e AS shown FROM f),
+g AS (
+  SELECT k, {counts}, string_agg(shown, ',' ORDER BY s, kind) FILTER (WHERE kind IN ({base})) AS base,
+    string_agg(shown, ',' ORDER BY s, kind) AS every
+  FROM l GROUP BY k
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM r LEFT JOIN g ON r.k = g.k"""
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -183,4 +259,27 @@ l AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN l ON d.doc_id = l.doc_id""",
+    "op11_fill_in_middle": r"""
+WITH d AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+),
+c AS (
+  SELECT *, len(w) AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90
+      THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+),
+p AS (
+  SELECT doc_id, t, n, form, array_to_string(w[1:least(x, y)], '') AS pre,
+    array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS mid, array_to_string(w[greatest(x, y) + 1:n], '') AS suf
+  FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form != 'plain' THEN length(coalesce(pre, '')) END::BIGINT AS prefix_chars,
+  CASE WHEN form != 'plain' THEN length(coalesce(mid, '')) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+    ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p""",
+    "op13_secret_scan": _secret_sql(),
 }
