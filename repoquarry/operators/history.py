@@ -56,10 +56,10 @@ def latest_commits(
     return first_n_per_key(commits, keys, order or [F.asc("seq")], n)
 
 
-def change_rows(commits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def change_rows(commits: DataFrame, keys: Sequence[str] = KEYS, keep: Sequence[str] = ()) -> DataFrame:
     """One row per changed file of commits that carry their changes as an array."""
-    exploded = open_array(commits, F.col("changes"), "c", [*keys, "commit_hash"])
-    return exploded.select(*keys, "commit_hash", "c.additions", "c.deletions", "c.file_path")
+    exploded = open_array(commits, F.col("changes"), "c", [*keys, "commit_hash", *keep])
+    return exploded.select(*keys, "commit_hash", *keep, "c.additions", "c.deletions", "c.file_path")
 
 
 def change_counts(changes: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -9,8 +9,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repoquarry.functions.text import character_overlap, character_set
-from repoquarry.operators.pairs import pair_listing
+from repoquarry.functions.text import character_set
+from repoquarry.operators.pairs import (
+    BLOCK_ROWS,
+    DIGITS,
+    _group_similarities,
+    _own_pairs,
+    _pair_frame,
+    _sides,
+    by_block_pair,
+    pair_listing,
+    pair_schema,
+)
 from repoquarry.operators.token_vectors import VECTOR_SIZE
 
 # Step towards the partner, and the overlap from which two tokens are related.
@@ -20,23 +30,64 @@ MIN_OVERLAP = 0.40
 _SLOTS_PER_TASK = 8
 
 
-def overlapping_pairs(tokens: DataFrame, minimum: float = MIN_OVERLAP) -> DataFrame:
-    """(idx_1, idx_2, token_1, token_2, character_overlap) of related tokens of a selection.
+def _group_overlaps(group: pd.DataFrame) -> np.ndarray:
+    """Overlap of each row of one block with each of the other: shared characters by the smaller set."""
+    sizes = group["characters"].map(len).to_numpy()
+    flat = np.concatenate([*group["characters"], np.zeros(0, object)]).astype(str)
+    _, code = np.unique(flat, return_inverse=True)
+    member = np.zeros((len(group), code.max(initial=-1) + 1), np.float32)
+    member[np.repeat(np.arange(len(group)), sizes), code] = 1
+    rows, columns = _sides(group)
+    shared = (member[rows] @ member[columns].T).astype(np.float64)
+    smaller = np.minimum.outer(sizes[rows], sizes[columns])
+    return np.divide(shared, smaller, out=np.zeros_like(shared), where=smaller > 0)
 
-    Tokens meet only partners with which they share a character: each is listed under its characters
-    and the lists are joined, so tokens without a common character are never compared.
+
+def _with_characters(tokens: DataFrame) -> DataFrame:
+    return tokens.select("idx", "token", character_set(F.col("token")).alias("characters"))
+
+
+def overlapping_pairs(
+    tokens: DataFrame, minimum: float = MIN_OVERLAP, blocks: int | None = None, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(idx_1, idx_2, token_1, token_2, character_overlap) of related tokens.
+
+    A set-similarity join by blocks: the sets of two blocks become rows of a table of characters, and one
+    matrix product counts what all their pairs share. Only related pairs leave a group.
     """
-    by_character = tokens.select("idx", "token", F.explode(character_set(F.col("token"))).alias("c"))
-    a = by_character.select(F.col("idx").alias("idx_1"), F.col("token").alias("token_1"), "c")
-    b = by_character.select(F.col("idx").alias("idx_2"), F.col("token").alias("token_2"), "c")
-    met = (
-        a.join(b, "c")
-        .filter(F.col("idx_1") < F.col("idx_2"))
-        .select("idx_1", "idx_2", "token_1", "token_2")
-        .distinct()
-    )
-    overlap = character_overlap(F.col("token_1"), F.col("token_2"))
-    return met.withColumn("character_overlap", overlap).filter(F.col("character_overlap") >= minimum)
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        overlaps = _group_overlaps(group)
+        a, b, i, j = _own_pairs(group, overlaps >= minimum)
+        return _pair_frame(group, i, j, [overlaps[a, b]], ["character_overlap"])
+
+    schema = pair_schema(tokens, ["character_overlap"])
+    return by_block_pair(_with_characters(tokens), blocks, ["characters"], kernel, schema, block_rows)
+
+
+def overlap_degrees(
+    tokens: DataFrame, minimum: float = MIN_OVERLAP, blocks: int | None = None, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(idx, token, related, average_overlap): how many tokens each is related to, where it is to any.
+
+    For vocabularies whose related pairs are too many to be listed: a group passes on one row a token.
+    """
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        overlaps = _group_overlaps(group)
+        a, b, i, j = _own_pairs(group, overlaps >= minimum)
+        both, values = np.concatenate([i, j]), np.tile(overlaps[a, b], 2)
+        related = np.bincount(both, minlength=len(group))
+        total = np.bincount(both, values, minlength=len(group))
+        met = np.nonzero(related)[0]
+        columns = {"idx": group["idx"].to_numpy()[met], "token": group["token"].to_numpy()[met]}
+        return pd.DataFrame({**columns, "related": related[met], "total": total[met]})
+
+    idx = tokens.schema["idx"].dataType.simpleString()
+    schema = f"idx {idx}, token STRING, related BIGINT, total DOUBLE"
+    parts = by_block_pair(_with_characters(tokens), blocks, ["characters"], kernel, schema, block_rows)
+    summed = parts.groupBy("idx", "token").agg(F.sum("related").alias("related"), F.sum("total").alias("total"))
+    return summed.select("idx", "token", "related", (F.col("total") / F.col("related")).alias("average_overlap"))
 
 
 def nudge(
@@ -82,6 +133,46 @@ def nudge(
     return vectors.join(rows, "idx").select("idx", "token", "vec", "improved")
 
 
+def nudge_together(vectors: DataFrame, pairs: DataFrame, rate: float = LEARNING_RATE) -> DataFrame:
+    """One step of all pairs at once: each vector moves towards its partners as they were before.
+
+    The scale mode of ``nudge``: nothing depends on the order of the pairs, so it is a join with the
+    partners and a sum per token and slot, partial before the shuffle. Tokens without partners stay.
+    """
+    ends = pairs.select(F.col("idx_1").alias("idx"), F.col("idx_2").alias("_partner"))
+    ends = ends.unionByName(pairs.select(F.col("idx_2").alias("idx"), F.col("idx_1").alias("_partner")))
+    partners = vectors.select(F.col("idx").alias("_partner"), F.col("vec").alias("_theirs"))
+    met = ends.join(partners, "_partner").select("idx", F.posexplode("_theirs").alias("slot", "theirs"))
+    pulls = met.groupBy("idx", "slot").agg(F.sum("theirs").alias("theirs"), F.count(F.lit(1)).alias("n"))
+    own = vectors.select("idx", F.posexplode("vec").alias("slot", "value"))
+    n, theirs = F.coalesce("n", F.lit(0)), F.coalesce("theirs", F.lit(0.0))
+    moved = own.join(pulls, ["idx", "slot"], "left").select(
+        "idx", "slot", ((1 - rate * n) * F.col("value") + rate * theirs).alias("value")
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "value")))
+    rows = moved.groupBy("idx").agg(F.transform(ordered, lambda x: x["value"]).alias("improved"))
+    return vectors.join(rows, "idx").select("idx", "token", "vec", "improved")
+
+
+def change_summary(improved: DataFrame, blocks: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(pairs, averages before, after and of the change) over all pairs; a group passes on four numbers."""
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        _, _, (before, after) = _group_similarities(group, ["vec", "improved"])
+        sums = {"n": [len(before)], "before": [before.sum()], "after": [after.sum()]}
+        return pd.DataFrame(sums)
+
+    schema = "n BIGINT, before DOUBLE, after DOUBLE"
+    parts = by_block_pair(improved, blocks, ["vec", "improved"], kernel, schema, block_rows)
+    sums = parts.agg(*[F.sum(c).alias(c) for c in ("n", "before", "after")])
+    return sums.select(
+        F.coalesce("n", F.lit(0)).alias("total_pairs_analyzed"),
+        F.try_divide("before", "n").alias("average_similarity_before"),
+        F.try_divide("after", "n").alias("average_similarity_after"),
+        F.try_divide(F.col("after") - F.col("before"), F.col("n")).alias("average_similarity_change"),
+    )
+
+
 def similarity_change(improved: DataFrame, blocks: int | None = None) -> DataFrame:
     """Similarity of every pair before and after, and the change."""
     names: Sequence[str] = ("original_similarity", "improved_similarity")
@@ -90,7 +181,7 @@ def similarity_change(improved: DataFrame, blocks: int | None = None) -> DataFra
 
 
 def top_improvements(changes: DataFrame, n: int = 10) -> DataFrame:
-    return changes.orderBy(F.desc("change"), "idx_1", "idx_2").limit(n)
+    return changes.orderBy(F.round("change", DIGITS).desc(), "idx_1", "idx_2").limit(n)
 
 
 def improvement_statistics(pairs: DataFrame, changes: DataFrame) -> DataFrame:

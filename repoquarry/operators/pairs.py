@@ -4,8 +4,11 @@ Vectors are dealt into equal blocks by a hash of their index. Each pair of block
 group computes its similarities as one matrix product. What leaves a group depends on the question:
 its best pairs, a summary, or (for selections of tokens, where the listing is the result) its pairs.
 
-``blocks`` is 1 for a selection known to be small. By default the vectors are written to the shared
-folder and counted, and the number of blocks follows, so that no group holds more than two blocks.
+The vectors are written to the shared folder and counted, and the number of blocks follows, so that no
+group holds more than two blocks of ``block_rows``; ``blocks`` sets their number where it is known.
+
+Sums of products differ in their last digits with their order. Where pairs are ranked, similarities are
+rounded to DIGITS first, so that equal pairs tie and the smaller indices come first.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from repoquarry.operators.ranking import first_n_per_key
 from repoquarry.session import materialize
 
 BLOCK_ROWS = 1024
+DIGITS = 12
 
 
 def blocks_for(rows: int, block_rows: int = BLOCK_ROWS) -> int:
@@ -34,24 +38,36 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
-def _group_similarities(group: pd.DataFrame, vec_columns: Sequence[str]):
-    """Row numbers (i, j) of the group's own pairs, and their similarity under each vector column."""
-    low, high = int(group["_low"].iat[0]), int(group["_high"].iat[0])
+def _sides(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the two blocks of a group; the same rows twice for a block with itself."""
     block = group["_block"].to_numpy()
-    rows = np.nonzero(block == low)[0]
-    columns = np.nonzero(block == high)[0]
-    if low == high:
-        a, b = np.triu_indices(len(rows), 1)
+    return np.nonzero(block == group["_low"].iat[0])[0], np.nonzero(block == group["_high"].iat[0])[0]
+
+
+def _own_pairs(group: pd.DataFrame, hits: np.ndarray | None = None):
+    """Places (a, b) of a group's pairs in its matrix of similarities, and their row numbers (i, j), the
+    smaller index first. ``hits`` leaves out all pairs but those where it is true."""
+    rows, columns = _sides(group)
+    if group["_low"].iat[0] != group["_high"].iat[0]:
+        a, b = np.nonzero(hits) if hits is not None else (x.ravel() for x in np.indices((len(rows), len(columns))))
     else:
-        a, b = (x.ravel() for x in np.indices((len(rows), len(columns))))
-    similarities = []
-    for name in vec_columns:
-        unit = _unit_rows(group[name])
-        similarities.append((unit[rows] @ unit[columns].T)[a, b])
+        a, b = np.nonzero(np.triu(hits, 1)) if hits is not None else np.triu_indices(len(rows), 1)
     i, j = rows[a], columns[b]
     idx = group["idx"].to_numpy()
     swap = idx[i] > idx[j]
-    return np.where(swap, j, i), np.where(swap, i, j), similarities
+    return a, b, np.where(swap, j, i), np.where(swap, i, j)
+
+
+def _similarity_matrix(group: pd.DataFrame, name: str) -> np.ndarray:
+    rows, columns = _sides(group)
+    unit = _unit_rows(group[name])
+    return unit[rows] @ unit[columns].T
+
+
+def _group_similarities(group: pd.DataFrame, vec_columns: Sequence[str]):
+    """Row numbers (i, j) of the group's own pairs, and their similarity under each vector column."""
+    a, b, i, j = _own_pairs(group)
+    return i, j, [_similarity_matrix(group, name)[a, b] for name in vec_columns]
 
 
 def _pair_frame(group: pd.DataFrame, i, j, similarities, names) -> pd.DataFrame:
@@ -61,25 +77,37 @@ def _pair_frame(group: pd.DataFrame, i, j, similarities, names) -> pd.DataFrame:
     return pd.DataFrame(frame)
 
 
-def _by_block_pair(
-    vectors: DataFrame, blocks: int | None, vec_columns: Sequence[str], kernel: Callable, schema: str
+def by_block_pair(
+    vectors: DataFrame,
+    blocks: int | None,
+    columns: Sequence[str],
+    kernel: Callable,
+    schema: str,
+    block_rows: int = BLOCK_ROWS,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
+    """kernel(group) for every pair of blocks, and for each value of further ``keys`` by itself.
+
+    Runs a job where the number of blocks is not given.
+    """
+    wanted = vectors.select("idx", "token", *keys, *columns)
     if blocks is None:
-        vectors, _ = materialize(vectors.select("idx", "token", *vec_columns), "vectors")
-        blocks = blocks_for(vectors.count())
+        wanted, _ = materialize(wanted, "vectors")
+        blocks = blocks_for(wanted.select("idx").distinct().count() if keys else wanted.count(), block_rows)
     block = F.pmod(F.xxhash64("idx"), F.lit(blocks)).cast("int")
-    dealt = vectors.select("idx", "token", *vec_columns, block.alias("_block"))
+    dealt = wanted.withColumn("_block", block)
     partners = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     grouped = partners.select(
         "*",
         F.least("_block", "_other").alias("_low"),
         F.greatest("_block", "_other").alias("_high"),
     ).drop("_other")
-    return grouped.groupBy("_low", "_high").applyInPandas(kernel, schema)
+    return grouped.groupBy("_low", "_high", *keys).applyInPandas(kernel, schema)
 
 
-def _pair_schema(names: Sequence[str]) -> str:
-    return "idx_1 INT, idx_2 INT, token_1 STRING, token_2 STRING, " + ", ".join(f"{n} DOUBLE" for n in names)
+def pair_schema(vectors: DataFrame, names: Sequence[str]) -> str:
+    idx = vectors.schema["idx"].dataType.simpleString()
+    return f"idx_1 {idx}, idx_2 {idx}, token_1 STRING, token_2 STRING, " + ", ".join(f"{n} DOUBLE" for n in names)
 
 
 def pair_listing(
@@ -94,15 +122,41 @@ def pair_listing(
         i, j, similarities = _group_similarities(group, vec_columns)
         return _pair_frame(group, i, j, similarities, names)
 
-    return _by_block_pair(vectors, blocks, vec_columns, kernel, _pair_schema(names))
+    return by_block_pair(vectors, blocks, vec_columns, kernel, pair_schema(vectors, names))
+
 
+def part_similarities(parts: DataFrame, blocks: int | None = None) -> DataFrame:
+    """All pairs of a selection of tokens whose vectors are stored in parts: (idx, token, part, vec).
 
-def extreme_pairs(vectors: DataFrame, k: int = 10, most: bool = True, blocks: int | None = None) -> DataFrame:
+    A part is a stretch of slots, and equal parts have equal lengths. Each part of a pair of blocks gives
+    partial products, which are added up over the parts; lengths are added up in the same way. So no
+    vector is ever put together.
+    """
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        a, b, i, j = _own_pairs(group)
+        rows, columns = _sides(group)
+        matrix = np.array(group["vec"].tolist(), dtype=np.float64)
+        return _pair_frame(group, i, j, [(matrix[rows] @ matrix[columns].T)[a, b]], ["product"])
+
+    products = by_block_pair(parts, blocks, ["vec"], kernel, pair_schema(parts, ["product"]), keys=["part"])
+    squares = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x)
+    lengths = parts.groupBy("idx").agg(F.sqrt(F.sum(squares)).alias("length"))
+    one, two = (lengths.select(F.col("idx").alias(f"idx_{n}"), F.col("length").alias(f"_{n}")) for n in (1, 2))
+    summed = products.groupBy("idx_1", "idx_2", "token_1", "token_2").agg(F.sum("product").alias("product"))
+    similarity = F.coalesce(F.try_divide("product", F.col("_1") * F.col("_2")), F.lit(0.0)).alias("similarity")
+    return summed.join(one, "idx_1").join(two, "idx_2").select("idx_1", "idx_2", "token_1", "token_2", similarity)
+
+
+def extreme_pairs(
+    vectors: DataFrame, k: int = 10, most: bool = True, blocks: int | None = None, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """The ``k`` most (or least) similar pairs; each group passes on its own ``k`` best only."""
     sign = -1.0 if most else 1.0
 
     def kernel(group: pd.DataFrame) -> pd.DataFrame:
         i, j, (similarity,) = _group_similarities(group, ["vec"])
+        similarity = np.round(similarity, DIGITS)
         keep = np.arange(len(similarity))
         if len(similarity) > k:
             bound = np.partition(sign * similarity, k - 1)[k - 1]
@@ -111,12 +165,12 @@ def extreme_pairs(vectors: DataFrame, k: int = 10, most: bool = True, blocks: in
         frame["_order"] = sign * frame["similarity"]
         return frame.sort_values(["_order", "idx_1", "idx_2"]).head(k).drop(columns="_order")
 
-    best = _by_block_pair(vectors, blocks, ["vec"], kernel, _pair_schema(["similarity"]))
+    best = by_block_pair(vectors, blocks, ["vec"], kernel, pair_schema(vectors, ["similarity"]), block_rows)
     order = F.desc("similarity") if most else F.asc("similarity")
     return best.orderBy(order, "idx_1", "idx_2").limit(k)
 
 
-def similarity_summary(vectors: DataFrame, blocks: int | None = None) -> DataFrame:
+def similarity_summary(vectors: DataFrame, blocks: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(pairs, highest, lowest, average) over all pairs; a group passes on four numbers."""
 
     def kernel(group: pd.DataFrame) -> pd.DataFrame:
@@ -132,7 +186,8 @@ def similarity_summary(vectors: DataFrame, blocks: int | None = None) -> DataFra
             }
         )
 
-    parts = _by_block_pair(vectors, blocks, ["vec"], kernel, "n BIGINT, total DOUBLE, high DOUBLE, low DOUBLE")
+    schema = "n BIGINT, total DOUBLE, high DOUBLE, low DOUBLE"
+    parts = by_block_pair(vectors, blocks, ["vec"], kernel, schema, block_rows)
     return parts.agg(
         F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("pairs"),
         F.max("high").alias("highest_similarity"),
@@ -163,7 +218,7 @@ def mean_vectors(vectors: DataFrame, key: str, vec: str = "vec") -> DataFrame:
 
 def top_per_approach(listings: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most similar pairs of each approach, with their rank from 1."""
-    order = [F.desc("similarity"), F.asc("idx_1"), F.asc("idx_2")]
+    order = [F.round("similarity", DIGITS).desc(), F.asc("idx_1"), F.asc("idx_2")]
     return first_n_per_key(listings, ["approach"], order, n, rank="rank")
 
 

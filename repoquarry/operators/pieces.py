@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,11 +30,11 @@ VOCABULARY_SIZE = 10_000
 MIN_FREQUENCY = 2
 UNKNOWN = "[UNK]"
 
-_SEPARATOR = "\x01"
 _FIRST_MERGED = 0x1000
-_RUN_LIMIT = 50_000
-_FIRST_CANDIDATES = 64
-_MAX_CANDIDATES = 4_096
+# What a training round asks for: so many candidate pairs, and sequences of so many symbols.
+_SEQUENCES = 100_000  # most sequences fetched; fewer pairs or symbols give fewer
+_FIRST_CANDIDATES, _MAX_CANDIDATES = 64, 4_096
+_FIRST_LENGTH, _SHORTEST, _LONGEST = 16, 4, 64
 _CACHED_PIECES = 500_000
 
 
@@ -219,20 +219,102 @@ def _cut(piece: str, candidates: set[str]) -> list[str]:
     return runs
 
 
-def run_counts(pieces: DataFrame, candidates: Sequence[str]) -> DataFrame:
-    """(run, n): counted stretches made of candidate pairs only."""
+def _sequences(run: str, length: int) -> Iterator[tuple[str, int]]:
+    """A run as sequences of at most ``length`` symbols and how often each counts.
+
+    What adds up over neighbouring symbols is the same over the run and over these: a longer run counts by
+    all its windows, less the symbols that two windows following one another share.
+    """
+    last = len(run) - length
+    if last <= 0:
+        yield run, 1
+        return
+    for i in range(last + 1):
+        yield run[i : i + length], 1
+    for i in range(1, last + 1):
+        yield run[i : i + length - 1], -1
+
+
+def sequence_counts(pieces: DataFrame, candidates: Sequence[str], length: int) -> DataFrame:
+    """(sequence, n) of the runs made of candidate pairs only.
+
+    There are no more sequences than walks of ``length`` symbols over the candidate pairs, however large
+    the corpus is and however long its pieces are. Counts are partial before the shuffle.
+    """
     wanted = set(candidates)
 
-    @F.arrow_udf("array<string>")
-    def cut(column: pa.Array) -> pa.Array:
-        return pa.array([_cut(piece, wanted) for piece in column.to_pylist()], pa.list_(pa.string()))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[str, int] = defaultdict(int)
+            for piece, n in zip(batch.column("piece").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                for run in _cut(piece, wanted):
+                    for sequence, sign in _sequences(run, length):
+                        found[sequence] += sign * n
+            columns = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["sequence", "n"])
+
+    parts = pieces.select("piece", "n").mapInArrow(count, "sequence STRING, n BIGINT")
+    return parts.groupBy("sequence").agg(F.sum("n").alias("n")).filter("n != 0")
 
-    runs = open_array(pieces, cut(F.col("piece")), "run", ["n"])
-    return runs.groupBy("run").agg(F.sum("n").alias("n"))
+
+class _Middles:
+    """What is certain about the symbols that two windows of a cut run share.
+
+    A boundary between two symbols depends on nothing but these two. So whatever stands beside a cut
+    sequence, only the symbol at its edge can be merged with it; that one is no longer known, nor is a run of
+    one symbol that is merged with itself, and the certain middle is what is left. As long as each middle has
+    a symbol, windows agree on it, and adding them up is exact.
+    """
+
+    def __init__(self, sequences: Iterable[str], length: int):
+        cut = {s[i : i + length - 1] for s in sequences if len(s) == length for i in (0, 1)}
+        # middle, and the original symbol that stands before and after it (None outside of the sequence)
+        self.rows: list[tuple[str, str | None, str | None]] = []
+        self.first: dict[str, set[int]] = defaultdict(set)
+        self.last: dict[str, set[int]] = defaultdict(set)
+        self.holders: dict[str, set[int]] = defaultdict(set)
+        self.ends: dict[str, tuple[str, str]] = {}  # merged symbol -> its first and last original symbol
+        for number, sequence in enumerate(sorted(cut)):
+            self.rows.append((sequence, None, None))
+            self._list(number, sequence)
+
+    def _list(self, number: int, middle: str) -> None:
+        self.first[middle[0]].add(number)
+        self.last[middle[-1]].add(number)
+        for i in range(len(middle) - 1):
+            self.holders[middle[i : i + 2]].add(number)
+
+    def _after(self, number: int, pair: str) -> tuple[str, str | None, str | None]:
+        """A row without the symbols that the pair makes uncertain."""
+        (a, b), (middle, before, after) = pair, self.rows[number]
+        first, last = (self.ends.get(c, (c, c)) for c in (b, a))
+        if middle[:1] == b and before in (None, self.ends.get(a, (a, a))[1]):
+            left = middle.lstrip(b) if a == b else middle[1:]
+            middle, before = left, first[1]
+        if middle[-1:] == a and after in (None, self.ends.get(b, (b, b))[0]):
+            right = middle.rstrip(a) if a == b else middle[:-1]
+            middle, after = right, last[0]
+        return middle, before, after
+
+    def merge(self, pair: str, new: str) -> bool:
+        """Merge a pair; False, and nothing is changed, if a middle would be lost."""
+        edge = self.first.get(pair[1], set()) | self.last.get(pair[0], set())
+        changed = {number: self._after(number, pair) for number in edge}
+        if not all(middle for middle, _, _ in changed.values()):
+            return False
+        for number in self.holders.pop(pair, set()):
+            middle, before, after = changed.get(number) or self.rows[number]
+            changed[number] = (middle.replace(pair, new), before, after)
+        for number, row in changed.items():
+            if row != self.rows[number]:
+                self.rows[number] = row
+                self._list(number, row[0])
+        self.ends[new] = tuple(self.ends.get(c, (c, c))[i] for i, c in enumerate(pair))
+        return True
 
 
 class _RunTable:
-    """Pair counts over counted runs, kept up to date while pairs are merged."""
+    """Pair counts over counted sequences, kept up to date while pairs are merged."""
 
     def __init__(self, runs: Iterable[tuple[str, int]]):
         self.runs = []
@@ -286,12 +368,13 @@ def train(
     """Learn merges: always the most frequent neighbouring pair, equal counts by smaller ids.
 
     Spark keeps the counted pieces and does all counting over them. A round fetches the first pairs
-    by (count, ids) and the counted runs made of those pairs only. A pair that comes to exist by
-    merging is never more frequent than the pair at its seam, so as long as the next merge ranks
-    before the last pair fetched, the runs hold every occurrence that matters and the merges are
-    exactly those of one-by-one counting. The round ends there, or where a merge spells a token that
-    exists already (its seam is not unique). Both fetches are limited: a run table over the limit
-    is asked for again with fewer pairs.
+    by (count, ids) and counted sequences of a fixed length made of those pairs only, whose number is bounded
+    whatever the corpus. A pair that comes to exist by merging is never more frequent than the pair at its
+    seam, so as long as the next merge ranks before the last pair fetched, the sequences hold every
+    occurrence that matters and the merges are exactly those of one-by-one counting. The round ends
+    there, where the next merge reaches beyond the length of the sequences (``_Middles``), or where a merge
+    spells a token that exists already (its seam is not unique). The first pair's count is always known,
+    so each round merges one pair at least.
     """
     spark = texts.sparkSession
     table, path = materialize(spread(byte_level_pieces(piece_counts(texts))), "pieces")
@@ -306,7 +389,7 @@ def train(
         vocab.setdefault(c, len(vocab))
     merges: list[tuple[str, str]] = []
     created = 0
-    candidates = _FIRST_CANDIDATES
+    size = _RoundSize()
     table = table.filter(F.length("piece") > 1)
 
     while len(vocab) < vocabulary_size:
@@ -314,14 +397,15 @@ def train(
             pair_counts(table)
             .filter(F.col("n") >= min_frequency)
             .orderBy(F.desc("n"), F.asc("pair"))
-            .limit(candidates + 1)
+            .limit(size.candidates + 1)
             .collect()
         )
         if not fetched:
             break
-        runs, known, end = _fetch_runs(table, fetched, candidates)
-        simulated = _RunTable(runs)
+        sequences, end = _fetch_sequences(table, fetched, size)
+        simulated, middles = _RunTable(sequences), _Middles([s for s, _ in sequences], size.length)
         step: list[tuple[str, str]] = []
+        cut_short = False
         while len(vocab) < vocabulary_size:
             best = simulated.best()
             if best is None or best[0] < min_frequency:
@@ -330,49 +414,72 @@ def train(
             if end is not None and (-n, pair) >= end:
                 break
             left, right = spelled[pair[0]], spelled[pair[1]]
-            merges.append((left, right))
             token = left + right
             repeated = token in symbol_of
+            symbol = symbol_of[token] if repeated else _symbol(created)
+            cut_short = not middles.merge(pair, symbol)
+            if cut_short and step:
+                break
+            merges.append((left, right))
             if not repeated:
-                symbol_of[token] = _symbol(created)
-                spelled[symbol_of[token]] = token
+                symbol_of[token] = symbol
+                spelled[symbol] = token
                 vocab[token] = len(vocab)
                 created += 1
-            step.append((pair, symbol_of[token]))
-            simulated.merge(pair, symbol_of[token])
-            if repeated:
+            step.append((pair, symbol))
+            if repeated or cut_short:
                 break
+            simulated.merge(pair, symbol)
         if not step:
             break
         old = path
         table, path = materialize(apply_merges(table, step), "pieces")
         drop_table(spark, old)
-        candidates = _next_candidates(candidates, known, len(runs))
+        size.grow(len(sequences), cut_short)
     drop_table(spark, path)
     return BpeModel(vocab, merges)
 
 
-def _fetch_runs(pieces: DataFrame, fetched: list, candidates: int):
-    """Runs over the first pairs, and the rank key of the first pair left out (None if none is)."""
-    known = min(candidates, len(fetched))
+@dataclass
+class _RoundSize:
+    """How many pairs and symbols a round asks for. Only the number of rounds depends on it."""
+
+    candidates: int = _FIRST_CANDIDATES
+    length: int = _FIRST_LENGTH
+    shrunk: bool = False
+
+    def shrink(self, candidates: int) -> int:
+        """After too many sequences: shorter ones, then fewer pairs. Returns the number of pairs."""
+        self.shrunk = True
+        if self.length > _SHORTEST:
+            self.length = max(_SHORTEST, self.length // 2)
+            return candidates
+        self.candidates = max(1, candidates // 2)
+        return self.candidates
+
+    def grow(self, fetched: int, cut_short: bool) -> None:
+        """What ended the round is asked for more of, where there is room."""
+        if not self.shrunk and fetched * 8 < _SEQUENCES:
+            if cut_short:
+                self.length = min(_LONGEST, self.length * 2)
+            else:
+                self.candidates = min(_MAX_CANDIDATES, self.candidates * 2)
+        self.shrunk = False
+
+
+def _fetch_sequences(pieces: DataFrame, fetched: list, size: _RoundSize):
+    """Counted sequences over the first pairs, and the rank key of the first pair left out (None if none is)."""
+    known = min(size.candidates, len(fetched))
     while True:
         pairs = [r["pair"] for r in fetched[:known]]
         end = (-fetched[known]["n"], fetched[known]["pair"]) if known < len(fetched) else None
-        rows = run_counts(pieces, pairs).limit(_RUN_LIMIT + 1).collect()
-        if len(rows) <= _RUN_LIMIT:
-            return [(r["run"], r["n"]) for r in rows], known, end
+        rows = sequence_counts(pieces, pairs, size.length).limit(_SEQUENCES + 1).collect()
+        if len(rows) <= _SEQUENCES:
+            return [(r["sequence"], r["n"]) for r in rows], end
         if known == 1:
-            # runs of one pair: only a symbol repeated, told apart by its length; merge just that pair
-            return [(pairs[0], fetched[0]["n"])], known, end
-        known = max(1, known // 4)
-
-
-def _next_candidates(candidates: int, known: int, runs: int) -> int:
-    if known < candidates:
-        return max(16, known)
-    if runs >= _RUN_LIMIT // 3:
-        return candidates
-    return min(_MAX_CANDIDATES, candidates * (4 if runs < _RUN_LIMIT // 20 else 2))
+            # sequences of one pair: only a symbol repeated, told apart by its length; merge just that pair
+            return [(pairs[0], fetched[0]["n"])], end
+        known = min(known, size.shrink(known))
 
 
 # --- encoding -------------------------------------------------------------------------------------

@@ -44,19 +44,17 @@ def rank_ids(df: DataFrame, order: Sequence[Column], name: str = "token_id", sta
 
     Rows are range-partitioned and sorted, and each notes its partition and its place in it. That
     table is written once; the row counts of its partitions (one number per partition) then give the
-    offset to add. Runs a job.
+    offset to add, a small table joined by partition. Runs a job.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     table, _ = materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranked")
     part = F.shiftright("_place", 33)
     counts = table.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).collect()
-    offsets, total = {}, start
+    offsets, total = [], start
     for row in sorted(counts, key=lambda r: r["_part"]):
-        offsets[row["_part"]] = total
+        offsets.append((row["_part"], total))
         total += row["n"]
-    if not offsets:
-        return table.withColumn(name, F.lit(None).cast("bigint")).drop("_place")
-    by_part = F.array(*[F.lit(offsets.get(p, 0)) for p in range(max(offsets) + 1)])
-    local = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    place = F.get(by_part, part.cast("int")) + local
-    return table.withColumn(name, place.cast("bigint")).drop("_place")
+    before = df.sparkSession.createDataFrame(offsets, "_part BIGINT, _before BIGINT")
+    place = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before")
+    placed = table.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return placed.withColumn(name, place.cast("bigint")).drop("_place", "_part", "_before")

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from repoquarry.functions import vectors as vx
 from repoquarry.functions.arrays import open_places
 from repoquarry.operators.ranking import rank_ids
-from repoquarry.session import materialize, settle
+from repoquarry.session import materialize
 
 VECTOR_SIZE = 128
+PART_SLOTS = 1_024  # slots of one row, where a vector has as many slots as there are repositories
 # Weights of the mean, spread, first and last position in a position vector.
 POSITION_WEIGHTS = (1.0, 0.20, 0.10, 0.10)
 # Fixed value: spread of a random start vector.
@@ -81,52 +82,56 @@ def frequency_features(selected: DataFrame) -> DataFrame:
     )
 
 
-def frequency_vectors(selected: DataFrame, files: DataFrame) -> DataFrame:
-    """Unit vectors (relative frequency, log frequency, relative frequency x share per repository).
+def share_parts(files: DataFrame, part_slots: int = PART_SLOTS) -> DataFrame:
+    """(part, shares): the shares of all repositories in name order, so many to a row. Runs a job."""
+    ranked = rank_ids(repository_shares(files), [F.asc("repository")], "_slot", start=0)
+    part = F.floor(F.col("_slot") / part_slots).cast("int").alias("part")
+    ordered = F.array_sort(F.collect_list(F.struct("_slot", "share")))
+    return ranked.groupBy(part).agg(F.transform(ordered, lambda s: s["share"]).alias("shares"))
+
 
-    ``selected`` has (idx, token, frequency) rows of a selection; repositories are in name order.
-    The repository part is sized by repositories, not by how the tokens are spread over them. One
-    vector has a slot per repository; see frequency_components where those are too many for one row.
+def frequency_parts(selected: DataFrame, files: DataFrame, part_slots: int = PART_SLOTS) -> DataFrame:
+    """Unit vectors (relative frequency, log frequency, relative frequency x share per repository) in parts.
+
+    ``selected`` has (idx, token, frequency) rows; repositories are in name order. Part -1 holds the first
+    two slots, part p the shares from p x part_slots on. Tokens are listed under each part's number and joined
+    with the parts, so no row or group holds all repositories, and lengths are sums over (token, part).
+    The repository part is sized by repositories, not by how the tokens are spread over them. Runs jobs.
     """
-    features = frequency_features(selected)
-    shares = F.array_sort(F.collect_list(F.struct("repository", "share")))
-    profile = repository_shares(files).agg(shares).scalar()
+    features, _ = materialize(frequency_features(selected).select("idx", "token", "normalized_frequency", "log_frequency"), "features")
+    parts, _ = materialize(share_parts(files, part_slots), "shares")
     relative = F.col("normalized_frequency")
-    parts = F.transform(F.col("_shares"), lambda s: relative * s["share"])
-    vector = F.concat(F.array(relative, F.col("log_frequency")), parts)
-    return features.withColumn("_shares", profile).select(
-        "idx", "token", "frequency", "normalized_frequency", "log_frequency", vx.l2_normalize(vector).alias("vec")
-    )
+    last = parts.agg(F.coalesce(F.max("part"), F.lit(-1))).first()[0]
+    head = features.select("idx", "token", F.lit(-1).alias("part"), F.array(relative, "log_frequency").alias("vec"))
+    if last >= 0:
+        listed = features.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(last))))
+        tail = listed.join(parts, "part").select(
+            "idx", "token", "part", F.transform("shares", lambda s: relative * s).alias("vec")
+        )
+        head = head.unionByName(tail)
+    squares = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x)
+    lengths = head.groupBy(F.col("idx").alias("_idx")).agg(F.sqrt(F.sum(squares)).alias("_length"))
+    scaled = F.when(F.col("_length") > 0, F.transform("vec", lambda x: x / F.col("_length"))).otherwise(F.col("vec"))
+    return head.join(lengths, F.col("idx") == F.col("_idx")).select("idx", "token", "part", scaled.alias("vec"))
 
 
-def frequency_components(selected: DataFrame, files: DataFrame) -> DataFrame:
-    """The same vectors in long form (idx, token, slot, value), however many repositories there are.
+def frequency_vectors(selected: DataFrame, files: DataFrame) -> DataFrame:
+    """The same with each token's parts put together to one vector. Runs jobs.
 
-    No row or group holds all repositories: a vector's length follows from the sum of squared shares,
-    and each share is multiplied with the selected tokens, which are few. Runs jobs.
+    A vector has a slot per repository; ``frequency_parts`` and ``pairs.part_similarities`` do without the
+    whole vectors where those are too many for one row.
     """
-    features, small = settle(frequency_features(selected))
-    if not small:
-        raise ValueError("a selection of tokens is expected")
-    shares = rank_ids(repository_shares(files), [F.asc("repository")], "slot", start=2)
-    squares = shares.agg(F.coalesce(F.sum(F.col("share") * F.col("share")), F.lit(0.0)).alias("s")).first()["s"]
-    relative, log = F.col("normalized_frequency"), F.col("log_frequency")
-    length = F.sqrt(relative * relative * (1.0 + squares) + log * log)
-    scaled = features.select(
-        "idx",
-        "token",
-        *[F.when(length > 0, c / length).otherwise(c).alias(name) for name, c in (("r", relative), ("l", log))],
-    )
-    head = scaled.select("idx", "token", F.posexplode(F.array("r", "l")).alias("slot", "value"))
-    tokens = F.array(
-        *[
-            F.struct(F.lit(t.idx).alias("idx"), F.lit(t.token).alias("token"), F.lit(t.r).alias("r"))
-            for t in scaled.collect()
-        ]
-    )
-    opened = shares.select(F.col("slot").cast("int").alias("slot"), "share", F.explode(tokens).alias("t"))
-    tail = opened.select("t.idx", "t.token", "slot", (F.col("t.r") * F.col("share")).alias("value"))
-    return head.unionByName(tail)
+    features = frequency_features(selected)
+    ordered = F.array_sort(F.collect_list(F.struct("part", "vec")))
+    whole = frequency_parts(selected, files).groupBy("idx").agg(F.flatten(F.transform(ordered, lambda p: p["vec"])).alias("vec"))
+    return features.join(whole, "idx").select("idx", "token", "frequency", "normalized_frequency", "log_frequency", "vec")
+
+
+def frequency_components(selected: DataFrame, files: DataFrame, part_slots: int = PART_SLOTS) -> DataFrame:
+    """The same vectors in long form (idx, token, slot, value), however many repositories there are."""
+    opened = frequency_parts(selected, files, part_slots).select("idx", "token", "part", F.posexplode("vec").alias("_pos", "value"))
+    before = F.when(F.col("part") < 0, F.lit(0)).otherwise(2 + F.col("part") * part_slots)
+    return opened.select("idx", "token", (before + F.col("_pos")).alias("slot"), "value")
 
 
 def position_features(selected: DataFrame, sequences: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from repoquarry.operators import files as fo
 from repoquarry.operators import history as ho
+from repoquarry.operators.renames import renamed_change_counts
 from repoquarry.operators.report import report_rows
 from repoquarry.session import materialize, ship_package
 from repoquarry.sources import commit_log, tree
@@ -18,15 +20,17 @@ def mine(
     recent: DataFrame,
     changes: DataFrame,
     folders: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Metrics of every repository at once.
 
     ``listing`` has all files, ``sources`` the measured source files, ``commits`` the commits of all
     refs, ``recent`` the commit window of the current branch and ``changes`` its changed files.
-    ``folders`` lists folders where the export knows them.
+    ``folders`` lists folders where the export knows them, ``counts`` the changes per file where they are
+    not simply counted by path.
     """
     metrics = fo.file_metrics(sources)
-    counts = ho.change_counts(changes)
+    counts = ho.change_counts(changes) if counts is None else counts
     out = {
         "file_metrics": metrics,
         "history_metrics": counts,
@@ -54,19 +58,25 @@ def mine(
 
 
 def mine_folders(
-    spark: SparkSession, trees: str, commit_logs: str, change_logs: str, window: int = ho.HISTORY_WINDOW
+    spark: SparkSession,
+    trees: str,
+    commit_logs: str,
+    change_logs: str,
+    window: int = ho.HISTORY_WINDOW,
+    follow_renames: bool = False,
+    log_names: tuple[str | None, str | None] = (None, None),
 ) -> dict[str, DataFrame]:
-    """The same from exports: <trees>/<repository>/..., and log files one folder per repository."""
+    """The same from exports: <trees>/<repository>/..., and log files one folder per repository.
+
+    With ``follow_renames`` the counts of a file's former names are part of its own. ``log_names`` are the
+    names of the folders that hold the logs' part files, where a log is not one file.
+    """
     ship_package(spark)
-    recent, _ = materialize(ho.latest_commits(commit_log.read_changes(spark, change_logs), window), "recent")
+    recent, _ = materialize(ho.latest_commits(commit_log.read_changes(spark, change_logs, log_names[1]), window), "recent")
     entries = tree.scan(spark, trees)
     listing = tree.files_of(entries)
     sources, _ = materialize(tree.measure_sources(listing, trees), "sources")
-    return mine(
-        listing,
-        sources,
-        commit_log.read_commits(spark, commit_logs),
-        recent.drop("changes"),
-        ho.change_rows(recent),
-        tree.folders_of(entries),
-    )
+    commits = commit_log.read_commits(spark, commit_logs, log_names[0])
+    changes = ho.change_rows(recent, keep=["seq"])
+    counts = renamed_change_counts(changes, [F.col("seq")]) if follow_renames else None
+    return mine(listing, sources, commits, recent.drop("changes"), changes.drop("seq"), tree.folders_of(entries), counts)

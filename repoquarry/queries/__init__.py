@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repoquarry.queries import embeddings, integration, mining, tokens
+from repoquarry.queries import embeddings, folders, integration, mining, tokens
 from repoquarry.session import ship_package
 
 
@@ -19,6 +19,6 @@ def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 
-MODULES = (mining, integration, tokens, embeddings)
+MODULES = (mining, integration, tokens, embeddings, folders)
 QUERIES = {name: _shipped(query) for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

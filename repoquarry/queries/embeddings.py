@@ -12,13 +12,16 @@ from repoquarry.operators import pairs as po
 from repoquarry.operators import pieces as bo
 from repoquarry.operators import selection as sel
 from repoquarry.operators import skipgram
+from repoquarry.operators import skipgram_blocks as sb
 from repoquarry.operators import token_vectors as tv
 from repoquarry.operators import vocabulary as vo
 from repoquarry.plans import embeddings as plan
 from repoquarry.queries import inputs as q
 from repoquarry.queries import tokens as qt
-from repoquarry.session import settle
+from repoquarry.session import materialize
 
+SMALL_BLOCKS = 100  # vectors to a block, so that small tables have many blocks too
+SKIPGRAM_SIZE, SKIPGRAM_EPOCHS = 32, 3
 TRAINERS = 8  # tasks that train skip-gram vectors
 
 
@@ -28,9 +31,9 @@ def _selected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fixed(selected: DataFrame) -> tuple[DataFrame, list[str]]:
-    """A selection (20 rows) settled, so that the corpus is not counted again for every use."""
-    local, _ = settle(selected)
-    return local, [r["token"] for r in local.collect()]
+    """A selection (20 rows) written once, so that the corpus is not counted again for every use."""
+    written, _ = materialize(selected, "selected")
+    return written, [r["token"] for r in written.select("token").collect()]
 
 
 def _word_sequences(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,6 +69,27 @@ def label_similarity(spark, sf):
     return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
 
 
+def _numbered_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _embeddings(spark, sf).filter(F.col("vec").isNotNull())
+    return vectors.select(F.col("vec_id").alias("idx"), F.col("vec_id").cast("string").alias("token"), "vec")
+
+
+def closest_embeddings(spark, sf):
+    """The most similar vectors of the whole table, by many pairs of blocks."""
+    pairs = po.extreme_pairs(_numbered_embeddings(spark, sf), 10, most=True, block_rows=SMALL_BLOCKS)
+    return pairs.select("idx_1", "idx_2", F.round("similarity", 6).alias("similarity"))
+
+
+def farthest_embeddings(spark, sf):
+    pairs = po.extreme_pairs(_numbered_embeddings(spark, sf), 10, most=False, block_rows=SMALL_BLOCKS)
+    return pairs.select("idx_1", "idx_2", F.round("similarity", 6).alias("similarity"))
+
+
+def embedding_similarity_summary(spark, sf):
+    row = po.similarity_summary(_numbered_embeddings(spark, sf), block_rows=SMALL_BLOCKS)
+    return row.select("pairs", *[F.round(c, 6).alias(c) for c in row.columns if c != "pairs"])
+
+
 def token_positions(spark, sf):
     features = qt.word_positions(spark, sf, _selected(spark, sf))
     rounded = [F.round(c, 6).alias(c) for c in features.columns if c.endswith(("position", "std"))]
@@ -95,6 +119,15 @@ def frequency_components(spark, sf):
     return rows.select("token", "slot", F.round("value", 6).alias("value"))
 
 
+def frequency_similarity(spark, sf):
+    """Pairs under frequency vectors that are kept in parts of a few repositories."""
+    selected, _ = _fixed(_selected(spark, sf))
+    known = tv.token_frequencies(selected, selected.select("token", "frequency"))
+    parts, _ = materialize(tv.frequency_parts(known, q.document_files(spark, sf).select("repository"), part_slots=8), "parts")
+    pairs = po.part_similarities(parts)
+    return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
+
+
 def token_contexts(spark, sf):
     _, tokens = _fixed(_selected(spark, sf))
     found = co.token_contexts(_word_sequences(spark, sf), tokens, keep=("doc_id",))
@@ -107,7 +140,7 @@ def _listings(spark: SparkSession, sf: str) -> DataFrame:
     position = tv.position_vectors(qt.word_positions(spark, sf, selected))
     parts = [("Frequency", _frequency_vectors(spark, sf, selected)), ("Position", position)]
     listings = [
-        po.pair_listing(v.select("idx", "token", "vec"), blocks=1).withColumn("approach", F.lit(name)) for name, v in parts
+        po.pair_listing(v.select("idx", "token", "vec")).withColumn("approach", F.lit(name)) for name, v in parts
     ]
     return listings[0].unionByName(listings[1])
 
@@ -154,6 +187,27 @@ def word2vec_vectors(spark, sf):
     return skipgram.selected_vectors(selected, skipgram.train(sequences, TRAINERS))
 
 
+def context_totals(spark, sf):
+    """How many different words stand near each frequent word, and how often: what skip-gram trains on."""
+    sequences = _word_sequences(spark, sf).select("tokens")
+    words, _ = materialize(sb.numbered_words(sequences, qt.FREQUENT), "words")
+    pairs = sb.pair_weights(sequences, words)
+    totals = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("contexts"), F.sum("weight").cast("bigint").alias("weight"))
+    return totals.join(words, "word").select("token", "word", "contexts", "weight")
+
+
+def skipgram_vectors(spark, sf):
+    """Skip-gram vectors of all frequent words of the texts, trained block by block."""
+    sequences = _word_sequences(spark, sf).select("tokens")
+    return sb.train(sequences, size=SKIPGRAM_SIZE, min_count=qt.FREQUENT, epochs=SKIPGRAM_EPOCHS)
+
+
+def usable_sequences(spark, sf):
+    """Training sequences: those with two tokens or more."""
+    opened = skipgram.training_sequences(_word_sequences(spark, sf)).select(F.size("tokens").alias("n"))
+    return opened.groupBy("n").agg(F.count(F.lit(1)).alias("sequences"))
+
+
 def stage_four(spark, sf):
     """The whole stage over paths: four kinds of vectors compared."""
     files, frequency, model = _path_model(spark, sf)
@@ -166,10 +220,14 @@ QUERIES = {
         l2_normalize,
         vector_mean,
         label_similarity,
+        closest_embeddings,
+        farthest_embeddings,
+        embedding_similarity_summary,
         token_positions,
         position_embedding,
         frequency_embedding,
         frequency_components,
+        frequency_similarity,
         token_contexts,
         similarity_comparison,
         top_pairs_per_approach,
@@ -177,6 +235,9 @@ QUERIES = {
         random_vectors,
         structural_embedding,
         word2vec_vectors,
+        context_totals,
+        skipgram_vectors,
+        usable_sequences,
         stage_four,
     )
 }
@@ -198,6 +259,9 @@ frequency_raw AS (
     profile),
 frequency_vectors AS (
   SELECT idx, token, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS vec FROM frequency_raw)"""
+_EMBEDDING_PAIRS = """pairs AS (
+  SELECT a.vec_id AS idx_1, b.vec_id AS idx_2, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
+  FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)"""
 _MEANS = """means AS (
   SELECT label, list(m ORDER BY slot) AS v FROM (
     SELECT label, slot, avg(value::DOUBLE) AS m
@@ -230,6 +294,13 @@ u AS (SELECT label, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v
     "label_similarity": f"""WITH {_MEANS}
 SELECT CAST(a.label AS VARCHAR) AS token_1, CAST(b.label AS VARCHAR) AS token_2,
   round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM means a JOIN means b ON a.label < b.label""",
+    "closest_embeddings": f"""WITH {_EMBEDDING_PAIRS}
+SELECT idx_1, idx_2, round(s, 6) AS similarity FROM pairs ORDER BY round(s, 12) DESC, idx_1, idx_2 LIMIT 10""",
+    "farthest_embeddings": f"""WITH {_EMBEDDING_PAIRS}
+SELECT idx_1, idx_2, round(s, 6) AS similarity FROM pairs ORDER BY round(s, 12), idx_1, idx_2 LIMIT 10""",
+    "embedding_similarity_summary": f"""WITH {_EMBEDDING_PAIRS}
+SELECT count(*) AS pairs, round(max(s), 6) AS highest_similarity, round(min(s), 6) AS lowest_similarity,
+  round(avg(s), 6) AS average_similarity FROM pairs""",
     "token_positions": f"""WITH {_POSITION}
 SELECT idx, token, round(mean_position, 6) AS mean_position, round(position_std, 6) AS position_std,
   round(minimum_position, 6) AS minimum_position, round(maximum_position, 6) AS maximum_position, occurrences
@@ -237,6 +308,19 @@ FROM features""",
     "position_embedding": f"WITH {_POSITION} {_slots_sql('token', 'vectors')}",
     "frequency_embedding": f"WITH {_SELECTED}, {_FREQUENCY} {_slots_sql('token', 'frequency_vectors')}",
     "frequency_components": f"WITH {_SELECTED}, {_FREQUENCY} {_slots_sql('token', 'frequency_vectors')}",
+    "frequency_similarity": f"""WITH {_SELECTED}, {_FREQUENCY}
+SELECT a.token AS token_1, b.token AS token_2, round(list_cosine_similarity(a.vec, b.vec), 6) AS similarity
+FROM frequency_vectors a JOIN frequency_vectors b ON a.idx < b.idx""",
+    "context_totals": f"""WITH {q.WORDS_SQL},
+words AS (SELECT token, rank - 1 AS word FROM word_rank WHERE frequency >= {qt.FREQUENT}),
+places AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS i FROM word_docs),
+known AS (SELECT doc_id, word, i FROM places JOIN words USING (token)),
+near AS (
+  SELECT a.word, b.word AS context, count(*) AS n FROM known a JOIN known b
+    ON a.doc_id = b.doc_id AND b.i BETWEEN a.i - 5 AND a.i + 5 AND a.i != b.i GROUP BY 1, 2)
+SELECT token, word, count(*) AS contexts, CAST(sum(n) AS BIGINT) AS weight FROM near JOIN words USING (word) GROUP BY 1, 2""",
+    "usable_sequences": f"""WITH {q.WORDS_SQL}
+SELECT CAST(len(tokens) AS INTEGER) AS n, count(*) AS sequences FROM word_docs WHERE len(tokens) >= 2 GROUP BY 1""",
     "token_contexts": f"""WITH {_SELECTED},
 placed AS (SELECT doc_id, tokens, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS i FROM word_docs)
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, token,

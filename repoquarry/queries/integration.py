@@ -11,7 +11,7 @@ from repoquarry.operators import statistics as so
 from repoquarry.queries import inputs as q
 
 
-def _history(spark, sf):
+def untidy_history(spark, sf):
     """Untidy history rows: every change of the commit window counts 1."""
     recent = ho.latest_commits(q.commits(spark, sf))
     changes = q.changes_of(recent, q.all_changes(spark, sf))
@@ -22,15 +22,26 @@ def _history(spark, sf):
     )
 
 
+def untidy_snapshot(spark, sf):
+    """The snapshot under the plain column names, as a file of metrics has them."""
+    table = q.snapshot(spark, sf).drop("_row")
+    return table.toDF(*[c.strip().lower() for c in table.columns])
+
+
+def combined_with(spark, sf, history):
+    """The cleaned snapshot with the changes of (repository, file_path, change_count) rows."""
+    return io.combine(io.clean_source(q.snapshot(spark, sf)), history)
+
+
 def _combined(spark, sf):
-    return io.combine(io.clean_source(q.snapshot(spark, sf)), io.clean_history(_history(spark, sf)))
+    return combined_with(spark, sf, io.clean_history(untidy_history(spark, sf)))
 
 
 def _metrics(spark, sf):
     return fo.file_metrics(fo.measure_text(q.document_files(spark, sf)))
 
 
-def _rounded(rows):
+def rounded(rows):
     return rows.withColumn("average", F.round("average", 6))
 
 
@@ -65,27 +76,27 @@ def largest_combined(spark, sf):
 
 
 def source_stats(spark, sf):
-    return _rounded(so.source_statistics(_metrics(spark, sf)))
+    return rounded(so.source_statistics(_metrics(spark, sf)))
 
 
 def history_stats(spark, sf):
     recent = ho.latest_commits(q.commits(spark, sf))
     counts = ho.change_counts(q.changes_of(recent, q.all_changes(spark, sf)))
-    return _rounded(so.history_statistics(counts))
+    return rounded(so.history_statistics(counts))
 
 
 def source_stats_untidy(spark, sf):
     """Statistics of rows as they come in: fractions count in full, texts that are no numbers do not."""
-    return _rounded(so.source_statistics(q.untidy_lines(spark, sf)))
+    return rounded(so.source_statistics(q.untidy_lines(spark, sf)))
 
 
 def history_stats_untidy(spark, sf):
     rows = q.untidy_lines(spark, sf).select("repository", "file_path", F.col("loc").alias("change_count"))
-    return _rounded(so.history_statistics(rows))
+    return rounded(so.history_statistics(rows))
 
 
 def combined_stats(spark, sf):
-    return _rounded(so.combined_statistics(_combined(spark, sf)))
+    return rounded(so.combined_statistics(_combined(spark, sf)))
 
 
 QUERIES = {

@@ -88,13 +88,16 @@ def change_counts(spark, sf):
     return ho.change_counts(_changes(spark, sf))
 
 
-def churn(spark, sf):
-    out = ho.churn(_recent(spark, sf), _changes(spark, sf))
+def rounded_churn(out: DataFrame) -> DataFrame:
     return out.select(
         *[F.round(c, 6).alias(c) if c.startswith("average") else F.col(c) for c in out.columns]
     )
 
 
+def churn(spark, sf):
+    return rounded_churn(ho.churn(_recent(spark, sf), _changes(spark, sf)))
+
+
 def top_changed_files(spark, sf):
     return ho.top_changed_files(ho.change_counts(_changes(spark, sf)))
 

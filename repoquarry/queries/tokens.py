@@ -16,6 +16,11 @@ from repoquarry.operators import token_vectors as tv
 from repoquarry.operators import vocabulary as vo
 from repoquarry.plans import tokenization
 from repoquarry.queries import inputs as q
+from repoquarry.session import materialize
+
+FREQUENT = 5  # occurrences from which a word takes part where all frequent words are compared
+NUDGED = 1_100  # a selection of more than one block
+CANDIDATE_PAIRS, SEQUENCE_LENGTH = 64, 4
 
 # An example choice of 20 of the 50 most frequent tokens.
 RANKS = [2, 4, 5, 8, 11, 14, 17, 21, 25, 28, 31, 34, 36, 39, 41, 43, 45, 47, 49, 50]
@@ -56,6 +61,17 @@ def word_vocab(spark, sf):
     return vo.vocabulary(word_frequency(spark, sf))
 
 
+def char_vocab_first_seen(spark, sf):
+    """Character ids whose ties go to the character that was met first."""
+    profile = vo.character_profile(q.document_texts(spark, sf), position="doc_id")
+    return vo.vocabulary(vo.frequencies(profile), ties="first_seen")
+
+
+def word_vocab_first_seen(spark, sf):
+    profile = vo.word_profile(q.document_texts(spark, sf), position="doc_id")
+    return vo.vocabulary(vo.frequencies(profile), ties="first_seen")
+
+
 def char_ids(spark, sf):
     """Character ids of every text, joined to one string per document."""
     ids = vo.with_character_ids(q.document_texts(spark, sf), char_vocab(spark, sf))
@@ -94,6 +110,14 @@ def char_overlap_pairs(spark, sf):
     return pairs.withColumn("character_overlap", F.round("character_overlap", 6))
 
 
+def overlap_degrees(spark, sf):
+    """How many other frequent words each of them shares letters with: pairs of many blocks, none listed."""
+    frequent = word_frequency(spark, sf).filter(F.col("frequency") >= FREQUENT)
+    words = vo.vocabulary(frequent).select(F.col("token_id").alias("idx"), "token")
+    degrees = no.overlap_degrees(words)
+    return degrees.select("idx", "token", "related", F.round("average_overlap", 6).alias("average_overlap"))
+
+
 def bpe_pieces(spark, sf):
     return bo.byte_level_pieces(bo.piece_counts(_texts(spark, sf)))
 
@@ -104,6 +128,13 @@ def bpe_pair_counts(spark, sf):
     return bo.pair_counts(pieces)
 
 
+def bpe_sequence_counts(spark, sf):
+    """What a training round fetches: counted sequences of fixed length over the most frequent pairs."""
+    pieces, _ = materialize(bpe_pieces(spark, sf).filter(F.length("piece") > 1), "pieces")
+    first = bo.pair_counts(pieces).orderBy(F.desc("n"), F.asc("pair")).limit(CANDIDATE_PAIRS)
+    return bo.sequence_counts(pieces, [r["pair"] for r in first.collect()], SEQUENCE_LENGTH)
+
+
 def bpe_train(spark, sf):
     model = bo.train(_paths(spark, sf))
     vocab, merges = model.to_frames(spark)
@@ -143,22 +174,22 @@ def bpe_token_frequency(spark, sf):
 
 
 def most_similar_pairs(spark, sf):
-    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=True, blocks=1)
+    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=True)
     return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
 
 
 def least_similar_pairs(spark, sf):
-    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=False, blocks=1)
+    pairs = po.extreme_pairs(top_word_vectors(spark, sf), 10, most=False)
     return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
 
 
 def pair_similarity(spark, sf):
-    pairs = po.pair_listing(top_word_vectors(spark, sf), blocks=1)
+    pairs = po.pair_listing(top_word_vectors(spark, sf))
     return pairs.select("token_1", "token_2", F.round("similarity", 6).alias("similarity"))
 
 
 def similarity_summary(spark, sf):
-    row = po.similarity_summary(top_word_vectors(spark, sf), blocks=1)
+    row = po.similarity_summary(top_word_vectors(spark, sf))
     return row.select("pairs", *[F.round(c, 6).alias(c) for c in row.columns if c != "pairs"])
 
 
@@ -176,9 +207,34 @@ def pair_lookup(spark, sf):
 
 
 def _nudged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    vectors = top_word_vectors(spark, sf)
+    vectors, _ = materialize(top_word_vectors(spark, sf), "vectors")
     related = no.overlapping_pairs(vectors.select("idx", "token"))
-    return related, no.similarity_change(no.nudge(vectors, related), blocks=1)
+    return related, no.similarity_change(no.nudge(vectors, related))
+
+
+def _nudged_together(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Related pairs and moved vectors of a selection of several blocks."""
+    top = vo.vocabulary(word_frequency(spark, sf)).filter(F.col("token_id") <= NUDGED)
+    words, _ = materialize(top.select((F.col("token_id") - 1).cast("int").alias("idx"), "token"), "words")
+    positions = tv.position_vectors(word_positions(spark, sf, words)).select("idx", "token", "vec")
+    vectors, _ = materialize(positions, "vectors")
+    related, _ = materialize(no.overlapping_pairs(words), "related")
+    improved, _ = materialize(no.nudge_together(vectors, related), "improved")
+    return related, improved
+
+
+def together_improvements(spark, sf):
+    """Largest changes when all related words move at once."""
+    _, improved = _nudged_together(spark, sf)
+    top = no.top_improvements(no.similarity_change(improved))
+    return top.select("token_1", "token_2", F.round("change", 6).alias("change"))
+
+
+def together_statistics(spark, sf):
+    related, improved = _nudged_together(spark, sf)
+    row = no.change_summary(improved)
+    averages = [F.round(c, 6).alias(c) for c in row.columns if c.startswith("average")]
+    return row.select(related.agg(F.count(F.lit(1))).scalar().alias("related_pairs_detected"), "total_pairs_analyzed", *averages)
 
 
 def nudged_similarity(spark, sf):
@@ -211,6 +267,8 @@ QUERIES = {
     for f in (
         char_vocab,
         word_vocab,
+        char_vocab_first_seen,
+        word_vocab_first_seen,
         char_ids,
         sequence_stats,
         tokenizer_comparison,
@@ -218,8 +276,10 @@ QUERIES = {
         select_tokens,
         displayed_tokens,
         char_overlap_pairs,
+        overlap_degrees,
         bpe_pieces,
         bpe_pair_counts,
+        bpe_sequence_counts,
         bpe_train,
         bpe_train_texts,
         bpe_encode,
@@ -233,6 +293,8 @@ QUERIES = {
         nudged_similarity,
         top_improvements,
         improvement_statistics,
+        together_improvements,
+        together_statistics,
         stage_three,
     )
 }
@@ -278,14 +340,47 @@ _PAIRS = """pairs AS (
   FROM vectors a JOIN vectors b ON a.idx < b.idx)"""
 
 _OVERLAP = """char_sets AS (
-  SELECT idx, token, list_distinct(regexp_extract_all(lower(token), '(?s).')) AS cs FROM top50),
+  SELECT idx, token, list_distinct(regexp_extract_all(lower(token), '(?s).')) AS cs FROM {selected}),
 related AS (
   SELECT a.idx AS idx_1, b.idx AS idx_2, a.token AS token_1, b.token AS token_2,
     CAST(len(list_intersect(a.cs, b.cs)) AS DOUBLE) / least(len(a.cs), len(b.cs)) AS character_overlap
   FROM char_sets a JOIN char_sets b ON a.idx < b.idx
   WHERE CAST(len(list_intersect(a.cs, b.cs)) AS DOUBLE) / least(len(a.cs), len(b.cs)) >= 0.4)"""
 
-_NUDGE = f"""{_TOP_VECTORS}, {_OVERLAP},
+_TOP_OVERLAP = _OVERLAP.format(selected="top50")
+# Sets of characters as the bits of four numbers, 60 to each.
+_MASKS = """letters AS (SELECT idx, token, unnest(cs) AS c FROM char_sets),
+places AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS b FROM (SELECT DISTINCT c FROM letters)),
+masks AS (
+  SELECT idx, token, count(*) AS n, {0} FROM letters JOIN places USING (c) GROUP BY idx, token),
+shared AS (
+  SELECT a.idx AS idx_1, b.idx AS idx_2, a.token AS token_1, b.token AS token_2,
+    CAST({1} AS DOUBLE) / least(a.n, b.n) AS character_overlap
+  FROM masks a JOIN masks b ON a.idx < b.idx),
+related AS (SELECT * FROM shared WHERE character_overlap >= 0.4)""".format(
+    ", ".join(f"sum(CASE WHEN b // 60 = {i} THEN CAST(1 AS BIGINT) << (b % 60)::INT ELSE 0 END)::BIGINT AS m{i}" for i in range(4)),
+    " + ".join(f"bit_count(a.m{i} & b.m{i})::BIGINT" for i in range(4)),
+)
+_SETS = """char_sets AS (
+  SELECT idx, token, list_distinct(regexp_extract_all(lower(token), '(?s).')) AS cs FROM {selected})"""
+
+_TOGETHER = f"""{q.WORDS_SQL},
+chosen AS (SELECT CAST(rank - 1 AS INTEGER) AS idx, token FROM word_rank WHERE rank <= {NUDGED}),
+{POSITIONS_SQL.format(selected="chosen")}, {VECTORS_SQL}, {_SETS.format(selected="chosen")}, {_MASKS},
+ends AS (SELECT idx_1 AS idx, idx_2 AS other FROM related UNION ALL SELECT idx_2, idx_1 FROM related),
+slots AS (SELECT idx, unnest(range(0, 128)) AS slot, unnest(vec) AS value FROM vectors),
+pulls AS (SELECT e.idx, slot, sum(value) AS theirs, count(*) AS n FROM ends e JOIN slots s ON s.idx = e.other GROUP BY e.idx, slot),
+improved AS (
+  SELECT s.idx, list((1 - 0.05::DOUBLE * coalesce(n, 0)) * value + 0.05::DOUBLE * coalesce(theirs, 0) ORDER BY slot) AS vec
+  FROM slots s LEFT JOIN pulls USING (idx, slot) GROUP BY s.idx),
+changes AS (
+  SELECT a.idx AS idx_1, b.idx AS idx_2, a.token AS token_1, b.token AS token_2,
+    list_cosine_similarity(a.vec, b.vec) AS original_similarity,
+    list_cosine_similarity(x.vec, y.vec) AS improved_similarity,
+    list_cosine_similarity(x.vec, y.vec) - list_cosine_similarity(a.vec, b.vec) AS change
+  FROM vectors a JOIN vectors b ON a.idx < b.idx JOIN improved x ON x.idx = a.idx JOIN improved y ON y.idx = b.idx)"""
+
+_NUDGE = f"""{_TOP_VECTORS}, {_TOP_OVERLAP},
 steps AS (SELECT row_number() OVER (ORDER BY idx_1, idx_2) AS step, idx_1 + 1 AS i, idx_2 + 1 AS j FROM related),
 columns AS (
   SELECT slot, list(value ORDER BY idx) AS vals
@@ -334,6 +429,15 @@ pieces AS (SELECT {_bytes_sql("p")} AS piece, n FROM counted)"""
 ORACLE = {
     "char_vocab": f"WITH {_CHARS} SELECT * FROM char_rank",
     "word_vocab": f"WITH {q.WORDS_SQL} SELECT token, rank AS token_id, frequency FROM word_rank",
+    "char_vocab_first_seen": """WITH placed AS (
+  SELECT doc_id, unnest(cs) AS token, unnest(range(0, len(cs))) AS place
+  FROM (SELECT doc_id, regexp_extract_all(text, '(?s).') AS cs FROM documents)),
+met AS (SELECT token, count(*) AS frequency, min((doc_id, place)) AS first FROM placed GROUP BY token)
+SELECT token, row_number() OVER (ORDER BY frequency DESC, first) AS token_id, frequency FROM met""",
+    "word_vocab_first_seen": f"""WITH {q.WORDS_SQL},
+placed AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(0, len(tokens))) AS place FROM word_docs),
+met AS (SELECT token, count(*) AS frequency, min((doc_id, place)) AS first FROM placed GROUP BY token)
+SELECT token, row_number() OVER (ORDER BY frequency DESC, first) AS token_id, frequency FROM met""",
     "char_ids": f"""WITH {_CHARS},
 placed AS (SELECT doc_id, unnest(cs) AS token, unnest(range(0, len(cs))) AS pos
   FROM (SELECT doc_id, regexp_extract_all(text, '(?s).') AS cs FROM documents)),
@@ -359,19 +463,41 @@ FROM word_rank WHERE rank IN ({", ".join(map(str, RANKS))})""",
     "displayed_tokens": f"""WITH {_CHARS}
 SELECT replace(replace(replace(token, chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t') AS shown, frequency
 FROM char_rank WHERE token_id <= 50""",
-    "char_overlap_pairs": f"""WITH {q.WORDS_SQL}, {_OVERLAP}
+    "char_overlap_pairs": f"""WITH {q.WORDS_SQL}, {_TOP_OVERLAP}
 SELECT * REPLACE (round(character_overlap, 6) AS character_overlap) FROM related""",
+    "overlap_degrees": f"""WITH {q.WORDS_SQL},
+frequent AS (SELECT rank AS idx, token FROM word_rank WHERE frequency >= {FREQUENT}),
+{_SETS.format(selected="frequent")}, {_MASKS},
+ends AS (
+  SELECT idx_1 AS idx, token_1 AS token, character_overlap FROM related
+  UNION ALL SELECT idx_2, token_2, character_overlap FROM related)
+SELECT idx, token, count(*) AS related, round(avg(character_overlap), 6) AS average_overlap FROM ends GROUP BY idx, token""",
     "bpe_pieces": f"WITH {_PIECES} SELECT * FROM pieces",
     "bpe_pair_counts": f"""WITH {_PIECES}
 SELECT substr(piece, i, 2) AS pair, CAST(sum(n) AS BIGINT) AS n
 FROM (SELECT piece, n, unnest(range(1, length(piece))) AS i FROM pieces) GROUP BY 1""",
+    "bpe_sequence_counts": f"""WITH {_PIECES},
+long_pieces AS (SELECT piece, n FROM pieces WHERE length(piece) > 1),
+placed AS (SELECT piece, n, unnest(range(1, length(piece))) AS i FROM long_pieces),
+pair_n AS (SELECT substr(piece, i, 2) AS pair, sum(n) AS n FROM placed GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {CANDIDATE_PAIRS}),
+ok AS (SELECT piece, n, i FROM placed WHERE substr(piece, i, 2) IN (SELECT pair FROM pair_n)),
+ends AS (
+  SELECT piece, n, i, i - row_number() OVER (PARTITION BY piece ORDER BY i) AS run FROM ok),
+runs AS (SELECT piece, any_value(n) AS n, min(i) AS a, count(*) + 1 AS symbols FROM ends GROUP BY piece, run),
+cut AS (
+  SELECT substr(piece, a, symbols) AS sequence, n FROM runs WHERE symbols <= {SEQUENCE_LENGTH}
+  UNION ALL SELECT substr(piece, a + unnest(range(0, symbols - {SEQUENCE_LENGTH} + 1)), {SEQUENCE_LENGTH}), n
+  FROM runs WHERE symbols > {SEQUENCE_LENGTH}
+  UNION ALL SELECT substr(piece, a + unnest(range(1, symbols - {SEQUENCE_LENGTH} + 1)), {SEQUENCE_LENGTH} - 1), -n
+  FROM runs WHERE symbols > {SEQUENCE_LENGTH})
+SELECT sequence, CAST(sum(n) AS BIGINT) AS n FROM cut GROUP BY sequence HAVING sum(n) != 0""",
     "bpe_encoded_text": "SELECT doc_id, text FROM documents",
     "most_similar_pairs": f"""WITH {_TOP_VECTORS}, {_PAIRS}
 SELECT token_1, token_2, round(similarity, 6) AS similarity FROM pairs
-ORDER BY pairs.similarity DESC, idx_1, idx_2 LIMIT 10""",
+ORDER BY round(pairs.similarity, 12) DESC, idx_1, idx_2 LIMIT 10""",
     "least_similar_pairs": f"""WITH {_TOP_VECTORS}, {_PAIRS}
 SELECT token_1, token_2, round(similarity, 6) AS similarity FROM pairs
-ORDER BY pairs.similarity, idx_1, idx_2 LIMIT 10""",
+ORDER BY round(pairs.similarity, 12), idx_1, idx_2 LIMIT 10""",
     "pair_similarity": f"""WITH {_TOP_VECTORS}, {_PAIRS}
 SELECT token_1, token_2, round(similarity, 6) AS similarity FROM pairs""",
     "similarity_summary": f"""WITH {_TOP_VECTORS}, {_PAIRS}
@@ -385,8 +511,16 @@ SELECT token_1, token_2, round(original_similarity, 6) AS original_similarity,
   round(improved_similarity, 6) AS improved_similarity, round(change, 6) AS change FROM changes""",
     "top_improvements": f"""WITH RECURSIVE {_NUDGE}
 SELECT token_1, token_2, round(change, 6) AS change FROM changes
-ORDER BY changes.change DESC, idx_1, idx_2 LIMIT 10""",
+ORDER BY round(changes.change, 12) DESC, idx_1, idx_2 LIMIT 10""",
     "improvement_statistics": f"""WITH RECURSIVE {_NUDGE}
+SELECT (SELECT count(*) FROM related) AS related_pairs_detected, count(*) AS total_pairs_analyzed,
+  round(avg(original_similarity), 6) AS average_similarity_before,
+  round(avg(improved_similarity), 6) AS average_similarity_after,
+  round(avg(change), 6) AS average_similarity_change FROM changes""",
+    "together_improvements": f"""WITH {_TOGETHER}
+SELECT token_1, token_2, round(change, 6) AS change FROM changes
+ORDER BY round(changes.change, 12) DESC, idx_1, idx_2 LIMIT 10""",
+    "together_statistics": f"""WITH {_TOGETHER}
 SELECT (SELECT count(*) FROM related) AS related_pairs_detected, count(*) AS total_pairs_analyzed,
   round(avg(original_similarity), 6) AS average_similarity_before,
   round(avg(improved_similarity), 6) AS average_similarity_after,

@@ -64,22 +64,6 @@ def drop_table(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-# Rows a selection may have to be kept as a local table.
-SELECTION_ROWS = 10_000
-
-
-def settle(selection: DataFrame) -> tuple[DataFrame, bool]:
-    """A selection as a local table and True, if it has at most SELECTION_ROWS rows.
-
-    The rows are counted while they are fetched: a larger one is given back as it was, with False,
-    and is then neither held by the driver nor broadcast. Runs a job.
-    """
-    rows = selection.limit(SELECTION_ROWS + 1).collect()
-    if len(rows) > SELECTION_ROWS:
-        return selection, False
-    return selection.sparkSession.createDataFrame(rows, selection.schema), True
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate, the number that also decides on broadcasts."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

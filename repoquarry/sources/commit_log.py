@@ -1,4 +1,5 @@
-"""Exported commit logs, one folder per repository: <root>/<repository>/<name>.
+"""Exported commit logs, one folder per repository: <root>/<repository>/<name>, or a folder of part files
+there that follow one another by name; ``name`` says which folder name that is.
 
 Two exports are read: the metadata log of all refs (``%H<TAB>%an<TAB>%aI`` per line) and the change
 log of the current branch (``COMMIT<TAB>%H<TAB>%aI`` headers, each followed by numstat lines).
@@ -8,15 +9,21 @@ it needs no shuffle and a retried task gives the same value.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repoquarry.functions import dates
 
 
-def parent_folder_of_file() -> Column:
-    """Folder name of the file being read; the address is URL-encoded, a literal '+' is not a space."""
-    folder = F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]*$", 1)
+def parent_folder_of_file(name: str | None = None) -> Column:
+    """Folder name of the file being read; the address is URL-encoded, a literal '+' is not a space.
+
+    With ``name``, that of the folder that holds a file of this name, or a folder of part files.
+    """
+    below = r"[^/]*" if name is None else rf"{re.escape(name)}(?:/[^/]*)?"
+    folder = F.regexp_extract("_metadata.file_path", rf"([^/]+)/{below}$", 1)
     return F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
 
 
@@ -68,16 +75,16 @@ def parse_change_records(records: DataFrame) -> DataFrame:
     )
 
 
-def read_commits(spark: SparkSession, path: str) -> DataFrame:
+def read_commits(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     return parse_commits(
-        lines.select(parent_folder_of_file().alias("repository"), place_in_file().alias("seq"), "value")
+        lines.select(parent_folder_of_file(name).alias("repository"), place_in_file().alias("seq"), "value")
     )
 
 
-def read_changes(spark: SparkSession, path: str) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """The separator is the start of the next commit, so a commit is one record of a splittable scan."""
     records = spark.read.option("lineSep", "\nCOMMIT\t").text(path)
     return parse_change_records(
-        records.select(parent_folder_of_file().alias("repository"), place_in_file().alias("seq"), "value")
+        records.select(parent_folder_of_file(name).alias("repository"), place_in_file().alias("seq"), "value")
     )

@@ -27,7 +27,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 def _per_repository(df: DataFrame, columns: list[str], what: str) -> DataFrame:
     schemas.require_columns(df, columns, what)
     return df.select(
-        F.lower(strip(parent_folder_of_file())).alias("repository"),
+        F.lower(strip(parent_folder_of_file(what))).alias("repository"),
         *columns,
         place_in_file().alias("_row"),
     )

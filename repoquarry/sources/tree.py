@@ -17,30 +17,18 @@ from pyspark.sql import functions as F
 
 from repoquarry.operators.files import describe_files
 from repoquarry.session import materialize
+from repoquarry.sources.file_systems import hadoop_settings, open_root, resolved
 
 _ENTRY_SCHEMA = "path STRING, is_folder BOOLEAN, size_bytes BIGINT"
 _CHUNK = 1 << 20
+RANGE_BYTES = 64 << 20  # of a file read by one row of work
 
 
-def _open(root: str) -> tuple[pafs.FileSystem, str]:
-    file_system, base = pafs.FileSystem.from_uri(root)
-    return file_system, base.rstrip("/")
-
-
-def _resolved(spark: SparkSession, root: str) -> str:
-    """A root without a scheme is meant as Spark's readers mean it: in the default file system."""
-    if "://" in root:
-        return root
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
-    return uri.getPath() if uri.getScheme() == "file" else uri.toString()
-
-
-def _list_folders(root: str):
+def _list_folders(root: str, settings: dict[str, str]):
     """Entries of folders given relative to the root; nothing below .git is listed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file_system, base = _open(root)
+        file_system, base = open_root(root, settings)
         for batch in batches:
             rows = []
             for folder in batch.column("path").to_pylist():
@@ -69,12 +57,12 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
 
     Runs one job per folder depth; levels are kept in the shared folder.
     """
-    root = _resolved(spark, root)
+    root, settings = resolved(spark, root), hadoop_settings(spark)
     tasks = spark.sparkContext.defaultParallelism
     folders = spark.createDataFrame([("",)], "path STRING")
     levels = []
     while True:
-        found = folders.repartition(tasks).mapInArrow(_list_folders(root), _ENTRY_SCHEMA)
+        found = folders.repartition(tasks).mapInArrow(_list_folders(root, settings), _ENTRY_SCHEMA)
         level, _ = materialize(found, "tree")
         levels.append(level)
         folders = level.filter("is_folder").select("path")
@@ -97,31 +85,47 @@ def folders_of(entries: DataFrame) -> DataFrame:
     return entries.filter("is_folder").select("repository", F.col("file_path").alias("folder"))
 
 
-def _count_lines(file_system: pafs.FileSystem, address: str) -> int:
-    """Line feeds, plus one for an open last line; 0 for a file that cannot be read."""
+def _count_range(file_system: pafs.FileSystem, address: str, start: int, length: int) -> tuple[int | None, bool]:
+    """Line feeds of a stretch of a file, and whether its last byte is another one; (None, False) if it cannot be read."""
     lines, last = 0, b"\n"
     try:
-        with file_system.open_input_stream(address) as stream:
-            while chunk := stream.read(_CHUNK):
+        with file_system.open_input_file(address) as stream:
+            stream.seek(start)
+            while length > 0 and (chunk := stream.read(min(_CHUNK, length))):
                 lines += chunk.count(b"\n")
-                last = chunk[-1:]
+                last, length = chunk[-1:], length - len(chunk)
     except OSError:
-        return 0
-    return lines + (last != b"\n")
+        return None, False
+    return lines, last != b"\n"
+
 
+def measure_sources(files: DataFrame, root: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(repository, file_path, size_bytes, loc) of source files: line feeds, plus one for an open last line.
 
-def measure_sources(files: DataFrame, root: str) -> DataFrame:
-    """(repository, file_path, size_bytes, loc) of source files, read in chunks by the tasks."""
-    root = _resolved(files.sparkSession, root)
+    Files are read in ranges that are dealt over the tasks, so one huge file is the work of many. A file of
+    which a part cannot be read counts 0 lines.
+    """
+    spark = files.sparkSession
+    root, settings = resolved(spark, root), hadoop_settings(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file_system, base = _open(root)
+        file_system, base = open_root(root, settings)
         for batch in batches:
-            where = zip(batch.column("repository").to_pylist(), batch.column("file_path").to_pylist())
-            counts = [_count_lines(file_system, f"{base}/{repo}/{path}") for repo, path in where]
-            yield batch.append_column("loc", pa.array(counts, pa.int64()))
-
-    sources = describe_files(files).filter(F.col("language").isNotNull())
-    tasks = files.sparkSession.sparkContext.defaultParallelism * 4
-    dealt = sources.select("repository", "file_path", "size_bytes").repartition(tasks)
-    return dealt.mapInArrow(run, "repository STRING, file_path STRING, size_bytes BIGINT, loc BIGINT")
+            repositories, paths, starts, sizes = (batch.column(c).to_pylist() for c in ("repository", "file_path", "start", "size_bytes"))
+            counted = [
+                _count_range(file_system, f"{base}/{repository}/{path}", start, min(range_bytes, size - start))
+                for repository, path, start, size in zip(repositories, paths, starts, sizes, strict=True)
+            ]
+            lines, is_open = zip(*counted) if counted else ((), ())
+            ends = [flag and start + range_bytes >= size for flag, start, size in zip(is_open, starts, sizes, strict=True)]
+            out = batch.append_column("lines", pa.array(lines, pa.int64())).append_column("is_open", pa.array(ends, pa.bool_()))
+            yield out.drop_columns(["start"])
+
+    sources = describe_files(files).filter(F.col("language").isNotNull()).select("repository", "file_path", "size_bytes")
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("size_bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))
+    ranges = sources.select("*", F.explode(starts).alias("start"))
+    dealt = ranges.repartition(spark.sparkContext.defaultParallelism * 4)
+    counted = dealt.mapInArrow(run, "repository STRING, file_path STRING, size_bytes BIGINT, lines BIGINT, is_open BOOLEAN")
+    whole = F.count("lines") == F.count(F.lit(1))
+    loc = F.when(whole, F.sum("lines") + F.max(F.col("is_open").cast("int"))).otherwise(0)
+    return counted.groupBy("repository", "file_path", "size_bytes").agg(loc.cast("bigint").alias("loc"))

@@ -42,12 +42,14 @@ def invented_paths(n, seed):
     ]
 
 
-@pytest.mark.parametrize("limits", [(50_000, 256), (40, 16), (1, 1)])
+@pytest.mark.parametrize("limits", [(100_000, 256, 16), (60, 16, 4), (100_000, 256, 4), (1, 1, 4)])
 def test_same_model_as_library(spark, monkeypatch, limits):
-    """Also when the fetch limits are so small that every round is cut short."""
-    run_limit, most = limits
-    monkeypatch.setattr(pieces, "_RUN_LIMIT", run_limit)
+    """Also when the limits are so small that every round is cut short."""
+    run_limit, most, length = limits
+    monkeypatch.setattr(pieces, "_SEQUENCES", run_limit)
     monkeypatch.setattr(pieces, "_MAX_CANDIDATES", most)
+    monkeypatch.setattr(pieces, "_LONGEST", length)
+    monkeypatch.setattr(pieces._RoundSize.__init__, "__defaults__", (min(most, 64), length, False))
     texts = invented_paths(300 if run_limit > 1 else 12, 7)
     tokenizer, merges = library(texts, 200)
     model = pieces.train(frame(spark, texts), 200)
@@ -68,6 +70,95 @@ def test_same_merges_as_library_on_any_text(spark, texts):
     assert model.vocab == tokenizer.get_vocab()
 
 
+def merge_one_by_one(corpus, size):
+    """Merges of counted pieces (piece, n), each pair counted anew."""
+    corpus, out, new = dict(corpus), [], 0x1000
+    while len(out) < size:
+        counts = {}
+        for piece, n in corpus.items():
+            for i in range(len(piece) - 1):
+                counts[piece[i : i + 2]] = counts.get(piece[i : i + 2], 0) + n
+        best = min(((-n, pair) for pair, n in counts.items() if n > 1), default=None)
+        if best is None:
+            break
+        out.append(best[1])
+        corpus = {piece.replace(best[1], chr(new)): n for piece, n in corpus.items()}
+        new += 1
+    return out
+
+
+def merge_by_sequences(corpus, size, candidates, length):
+    """The same as rounds over sequences of fixed length, without Spark; also how many merges a round made."""
+    corpus, out, new, rounds = dict(corpus), [], 0x1000, []
+    while len(out) < size:
+        counts = {}
+        for piece, n in corpus.items():
+            for i in range(len(piece) - 1):
+                counts[piece[i : i + 2]] = counts.get(piece[i : i + 2], 0) + n
+        ranked = sorted((-n, pair) for pair, n in counts.items() if n > 1)
+        if not ranked:
+            break
+        wanted = {pair for _, pair in ranked[:candidates]}
+        end = ranked[candidates] if len(ranked) > candidates else None
+        sequences = {}
+        for piece, n in corpus.items():
+            for run in pieces._cut(piece, wanted):
+                for sequence, sign in pieces._sequences(run, length):
+                    sequences[sequence] = sequences.get(sequence, 0) + sign * n
+        simulated, middles = pieces._RunTable(sequences.items()), pieces._Middles(sequences, length)
+        step, sure = 0, True
+        while sure and len(out) < size:
+            best = simulated.best()
+            if best is None or best[0] < 2 or (end is not None and (-best[0], best[1]) >= end):
+                break
+            sure = middles.merge(best[1], chr(new))
+            if not sure and step:
+                break
+            out.append(best[1])
+            simulated.merge(best[1], chr(new))
+            corpus = {piece.replace(best[1], chr(new)): n for piece, n in corpus.items()}
+            new, step = new + 1, step + 1
+        rounds.append(step)
+    return out, rounds
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.dictionaries(st.text(alphabet="abcd", min_size=1, max_size=40), st.integers(1, 9), min_size=1, max_size=12),
+    st.integers(1, 12),
+    st.sampled_from([4, 5, 8]),
+)
+def test_sequences_of_fixed_length_give_exact_merges(corpus, candidates, length):
+    """Long pieces over few letters: runs are cut everywhere, and merges reach far."""
+    merged = {}
+    for piece, n in corpus.items():
+        merged[piece] = n
+    want = merge_one_by_one(merged, 25)
+    got, _ = merge_by_sequences(merged, 25, candidates, length)
+    assert got == want
+
+
+def test_fixed_length_rounds_make_many_merges():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("etaoinshrdlu", [12, 9, 8, 8, 7, 7, 6, 6, 6, 4, 4, 3], k=rng.randrange(2, 12))) for _ in range(3000)]
+    corpus = {w: 1 + i % 50 for i, w in enumerate(words)}
+    got, rounds = merge_by_sequences(corpus, 150, 64, 6)
+    assert got == merge_one_by_one(corpus, 150) and len(rounds) < 50
+
+
+def test_sequences_add_up_to_their_run():
+    for run, length in [("abcdefgh", 4), ("abababab", 5), ("abc", 4), ("abcd", 4), ("aaaaaaa", 4)]:
+        pairs = {}
+        for sequence, sign in pieces._sequences(run, length):
+            assert 2 <= len(sequence) <= length
+            for i in range(len(sequence) - 1):
+                pairs[sequence[i : i + 2]] = pairs.get(sequence[i : i + 2], 0) + sign
+        want = {}
+        for i in range(len(run) - 1):
+            want[run[i : i + 2]] = want.get(run[i : i + 2], 0) + 1
+        assert {p: n for p, n in pairs.items() if n} == want
+
+
 def test_decoding_gives_the_text_back(spark):
     texts = invented_paths(50, 3) + ["a  b\n\n\tc", "naïve 😀"]
     model = pieces.train(frame(spark, texts), 300)

@@ -36,14 +36,6 @@ def test_small_inputs_are_spread(spark, tmp_path):
     assert session.spread(huge) is huge
 
 
-def test_settle(spark, monkeypatch):
-    local, small = session.settle(spark.range(5))
-    assert small and local.count() == 5
-    monkeypatch.setattr(session, "SELECTION_ROWS", 3)
-    df = spark.range(5)
-    assert session.settle(df) == (df, False)
-
-
 def test_opening_computes_an_array_once(spark, physical_plan):
     df = spark.createDataFrame([("a b",), ("",), (None,)], "t STRING")
     split = F.filter(F.split("t", " "), lambda x: x != "")

@@ -2,10 +2,11 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from repoquarry import sinks
 from repoquarry.plans import integration, mining
-from repoquarry.sources import commit_log, tables, tree
+from repoquarry.sources import commit_log, file_systems, tables, tree
 
 FILES = {
     "alpha/src/a.py": b"x = 1\ny = 2",
@@ -81,6 +82,69 @@ def test_tree_sources(spark, export):
     }
 
 
+@pytest.mark.parametrize("size", [1, 3, 4, 1000])
+def test_files_are_read_in_ranges(spark, tmp_path, size):
+    contents = {"a.py": b"x\ny\n\nz", "b.py": b"\n" * 50, "_c.py": b"a\n" * 20, "d.py": b"", "e.py": b"no end"}
+    for name, content in contents.items():
+        (tmp_path / "r").mkdir(exist_ok=True)
+        (tmp_path / "r" / name).write_bytes(content)
+    listing = tree.files_of(tree.scan(spark, str(tmp_path)))
+    rows = tree.measure_sources(listing, str(tmp_path), size).collect()
+    want = {n: c.count(b"\n") + (not c.endswith(b"\n") and c != b"") for n, c in contents.items()}
+    assert {r.file_path: r.loc for r in rows} == want
+
+
+def test_a_large_file_is_the_work_of_several_tasks(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "big.py").write_bytes(b"line\n" * 100_000)
+    gone = spark.createDataFrame([("r", "gone.py", 9)], "repository STRING, file_path STRING, size_bytes BIGINT")
+    listing = tree.files_of(tree.scan(spark, str(tmp_path))).unionByName(gone)
+    rows = {r.file_path: r.loc for r in tree.measure_sources(listing, str(tmp_path), 10_000).collect()}
+    assert rows == {"big.py": 100_000, "gone.py": 0}
+    starts = F.sequence(F.lit(0), F.lit(499_999), F.lit(10_000))
+    assert spark.range(1).select(F.explode(starts)).repartition(32).groupBy(F.spark_partition_id()).count().count() > 8
+
+
+def test_file_systems_get_the_readers_settings(spark, tmp_path):
+    settings = file_systems.hadoop_settings(spark)
+    assert any(k.startswith("fs.") for k in settings)
+    call = file_systems.file_system_call
+    assert call("/a/b/", settings) == ("local", {}, "/a/b") and call("file:///a/b", settings) == ("local", {}, "/a/b")
+    keys = {"fs.s3a.access.key": "k", "fs.s3a.secret.key": "s", "fs.s3a.endpoint": "", "fs.other": "x"}
+    assert call("s3a://bucket/x/", keys) == ("s3", {"access_key": "k", "secret_key": "s"}, "bucket/x")
+    assert call("hdfs://name:8020/x", keys) == ("hadoop", {"host": "hdfs://name", "port": 8020, "extra_conf": keys}, "/x")
+    assert call("viewfs://cluster/x/y", {}) == ("hadoop", {"host": "viewfs://cluster", "port": 0, "extra_conf": {}}, "/x/y")
+    assert call("hdfs:///x", {})[1]["host"] == "default"
+
+
+def test_files_are_written_by_name(spark, tmp_path):
+    rows = [("a/__init__.py", "x\n"), ("a/b/.hidden", ""), ("c d/é.txt", "é")]
+    df = spark.createDataFrame(rows, "path STRING, content STRING").repartition(2)
+    assert sinks.write_files(df, str(tmp_path)) == 3 and sinks.write_files(df, str(tmp_path)) == 3
+    assert {p: (tmp_path / p).read_text() for p, _ in rows} == dict(rows)
+    assert sinks.write_files(df.limit(0), str(tmp_path)) == 0
+
+
+def test_logs_of_several_files_keep_their_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "LOG_LINES", 7)
+    rows = [(f"r{i % 2}", i, f"h{i:03d}\tAda\t2024-01-01T00:00:00Z") for i in range(60)]
+    lines = spark.createDataFrame(rows, "repository STRING, seq INT, value STRING").repartition(4)
+    sinks.write_files(sinks.log_files(lines, [F.asc("seq")], "log"), str(tmp_path))
+    assert len(list((tmp_path / "r0" / "log").iterdir())) > 3
+    commits = commit_log.read_commits(spark, f"{tmp_path}/*/log", "log").orderBy("seq").collect()
+    for r in ("r0", "r1"):
+        assert [c.commit_hash for c in commits if c.repository == r] == [v.split("\t")[0] for q, _, v in rows if q == r]
+
+
+def test_stage_one_follows_renames(spark, export):
+    out = mining.mine_folders(
+        spark, str(export / "trees"), str(export / "commits/*"), str(export / "changes/*"), window=3, follow_renames=True
+    )
+    changed = {(r.repository, r.file_path): r.change_count for r in out["history_metrics"].collect()}
+    assert changed[("alpha", "src/b/c.py")] == 1 and ("alpha", "src/{a => b}/c.py") not in changed
+    assert changed[("alpha", "src/a.py")] == 2
+
+
 def test_tree_of_a_relative_root(spark, export):
     root = os.path.relpath(export / "trees")
     rows = tree.measure_sources(tree.files_of(tree.scan(spark, root)), root).collect()

@@ -108,6 +108,73 @@ def test_nudge_without_related_tokens(spark):
     assert {r.idx: r.improved for r in nudge.nudge(df, related, size=1).collect()} == {0: [1.0], 1: [2.0]}
 
 
+def test_nudge_all_pairs_at_once(spark):
+    rows = [(0, "ab", [1.0, 0.0]), (1, "abc", [0.0, 1.0]), (2, "bc", [4.0, 4.0]), (3, "zz", [9.0, 9.0])]
+    df = spark.createDataFrame(rows, "idx INT, token STRING, vec ARRAY<DOUBLE>").repartition(3)
+    related = nudge.overlapping_pairs(df.select("idx", "token"))
+    m = np.array([r[2] for r in rows])
+    want = m.copy()
+    for i, j in [(0, 1), (0, 2), (1, 2)]:
+        want[i] += 0.05 * (m[j] - m[i])
+        want[j] += 0.05 * (m[i] - m[j])
+    for pairs_ in (related, related.orderBy(F.desc("idx_2"))):
+        got = {r.idx: r.improved for r in nudge.nudge_together(df, pairs_).collect()}
+        assert got == {i: pytest.approx(want[i].tolist()) for i in range(4)}
+    row = nudge.change_summary(nudge.nudge_together(df, related), blocks=3).first()
+    changes = nudge.similarity_change(nudge.nudge_together(df, related)).collect()
+    assert row.total_pairs_analyzed == 6
+    assert row.average_similarity_change == pytest.approx(np.mean([r.change for r in changes]))
+    none = nudge.nudge_together(df, related.limit(0)).collect()
+    assert {r.idx: r.improved for r in none} == {r[0]: r[2] for r in rows}
+
+
+@pytest.mark.parametrize("blocks", [1, 6])
+def test_overlaps_against_sets(spark, blocks):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdeÀÉéß字 "), rng.integers(0, 7))) for _ in range(70)] + ["", "ABC", "abc"]
+    df = spark.createDataFrame(list(enumerate(words)), "idx INT, token STRING").repartition(4)
+    sets = [set(w.lower()) for w in words]
+    want = {}
+    for i in range(len(words)):
+        for j in range(i + 1, len(words)):
+            smaller = min(len(sets[i]), len(sets[j]))
+            overlap = len(sets[i] & sets[j]) / smaller if smaller else 0.0
+            if overlap >= 0.4:
+                want[i, j] = overlap
+    got = {(r.idx_1, r.idx_2): r.character_overlap for r in nudge.overlapping_pairs(df, blocks=blocks).collect()}
+    assert got == want
+    degrees = {r.idx: (r.related, r.average_overlap) for r in nudge.overlap_degrees(df, blocks=blocks).collect()}
+    ends = {}
+    for pair, overlap in want.items():
+        for i in pair:
+            ends.setdefault(i, []).append(overlap)
+    assert degrees == {i: (len(v), pytest.approx(np.mean(v))) for i, v in ends.items()}
+
+
+@pytest.mark.parametrize("repositories, part_slots", [(0, 4), (1, 4), (4, 4), (11, 4), (11, 1024)])
+def test_frequency_vectors_in_parts(spark, repositories, part_slots):
+    files = [(f"r{i:02d}",) for i in range(repositories) for _ in range(i + 1)] + [(None,)]
+    selected = spark.createDataFrame([(0, "a", 8.0), (1, "b", 2.0), (2, "c", 0.0)], "idx INT, token STRING, frequency DOUBLE")
+    df = spark.createDataFrame(files, "repository STRING").repartition(3)
+    shares = np.arange(1, repositories + 1) / max(1, repositories * (repositories + 1) // 2)
+    want = []
+    for f in (8.0, 2.0, 0.0):
+        v = np.concatenate([[f / 8, np.log1p(f)], f / 8 * shares])
+        want.append(v / np.linalg.norm(v) if v.any() else v)
+    rows = token_vectors.frequency_components(selected, df, part_slots).collect()
+    got = np.zeros((3, repositories + 2))
+    for r in rows:
+        got[r.idx, r.slot] = r.value
+    assert len(rows) == 3 * (repositories + 2) and np.allclose(got, want)
+    whole = {r.idx: r.vec for r in token_vectors.frequency_vectors(selected, df).collect()}
+    assert np.allclose([whole[i] for i in range(3)], want)
+    parts = token_vectors.frequency_parts(selected, df, part_slots)
+    assert max(len(r.vec) for r in parts.collect()) <= max(2, part_slots)
+    for blocks in (1, 3, None):
+        pairs_ = {(r.idx_1, r.idx_2): r.similarity for r in pairs.part_similarities(parts, blocks).collect()}
+        assert pairs_ == {(i, j): pytest.approx(float(want[i] @ want[j])) for i, j in [(0, 1), (0, 2), (1, 2)]}
+
+
 @pytest.mark.parametrize("blocks", [1, 5])
 def test_listing_and_summary_against_numpy(spark, blocks):
     rng = np.random.default_rng(1)

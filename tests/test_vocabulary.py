@@ -78,3 +78,60 @@ def test_subword_profile_leaves_blank_texts_out(spark, texts):
     ).first()
     assert row.total_sequences == 4 and row.min_sequence_length > 0
     assert row.vocabulary_size == len(model.vocab) >= row.tokens_observed
+
+
+def first_seen(sequences):
+    """Tokens by falling count, ties by the first (position, place)."""
+    counts, first = Counter(), {}
+    for position, sequence in sequences:
+        for place, token in enumerate(sequence):
+            counts[token] += 1
+            first[token] = min(first.get(token, (position, place)), (position, place))
+    return sorted(counts, key=lambda t: (-counts[t], first[t]))
+
+
+@pytest.mark.parametrize("kind", ["character", "word"])
+def test_ties_by_first_place(spark, kind):
+    texts = [*TEXTS, "zz yy xx ww", "ww xx", "é😀z", None, "b c d e f g h i j"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows[::-1], "n LONG, text STRING").repartition(4)
+    split = list if kind == "character" else WORD.findall
+    make = vocabulary.character_profile if kind == "character" else vocabulary.word_profile
+    ids = vocabulary.vocabulary(vocabulary.frequencies(make(df, position="n")), ties="first_seen")
+    got = [r.token for r in ids.orderBy("token_id").collect()]
+    assert got == first_seen([(n, split(t or "")) for n, t in rows])
+    assert ids.columns == ["token", "token_id", "frequency"]
+    with pytest.raises(ValueError):
+        vocabulary.vocabulary(vocabulary.frequencies(make(df)), ties="last_seen")
+
+
+def test_batches_are_cut_by_bytes():
+    import numpy as np
+
+    gigabytes = np.array([0, 1, 1, 3, 3.5], np.float64) * (1 << 30)
+    offsets = gigabytes.astype(np.int64)  # a batch beyond 32-bit offsets
+    assert vocabulary.cut_points(offsets, 1 << 20) == [0, 1, 2, 3, 4]
+    assert vocabulary.cut_points(offsets, 1 << 31) == [0, 2, 3, 4]
+    assert vocabulary.cut_points(offsets, 1 << 40) == [0, 4]
+    assert vocabulary.cut_points(np.zeros(1, np.int64), 10) == [0]
+    assert vocabulary.cut_points(np.arange(0, 50, 3), 7) == [0, 2, 4, 6, 8, 10, 12, 14, 16]
+
+
+def test_pieces_of_a_batch_have_all_characters():
+    import pyarrow as pa
+
+    texts = ["abc", None, "", "é😀" * 10, "x", "yy"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "n": pa.array(range(6))}).slice(1)
+    pieces_ = list(vocabulary._pieces(batch, 0, 7))
+    assert [p.column(1).to_pylist() for p in pieces_] == [[1, 2], [3], [4, 5]]
+    codes = [c for p in pieces_ for c in vocabulary._code_points(p.column(0)).tolist()]
+    assert codes == [ord(c) for t in texts[1:] for c in t or ""]
+
+
+def test_character_ids_keep_other_columns(spark):
+    vocab = spark.createDataFrame([("a", 1), ("é", 2), ("😀", 3)], "token STRING, token_id BIGINT")
+    rows = [(1, "aé😀", [1, 2]), (2, None, None), (3, "", []), (4, "xaax" * 9, [3])]
+    df = spark.createDataFrame(rows, "i INT, text STRING, token_ids ARRAY<INT>").coalesce(1)
+    got = vocabulary.with_character_ids(df, vocab).collect()
+    assert [(r.i, r.text) for r in got] == [r[:2] for r in rows]
+    assert [r.token_ids for r in got] == [[1, 2, 3], [], [], [0, 1, 1, 0] * 9]
