@@ -44,6 +44,16 @@ HEADLINE = [
     "token_contexts",
     "structural_embedding",
     "similarity_comparison",
+    "report_rows",
+    "bpe_train_texts",
+    "word2vec_vectors",
+    "stage_three",
+    "stage_four",
+    "word_vocab_first_seen",
+    "closest_embeddings",
+    "renamed_change_counts",
+    "scanned_files",
+    "integrated_folder",
 ]
 
 

@@ -132,6 +132,12 @@ class BpeModel:
         )
 
 
+def first_merges(model: BpeModel, n: int) -> BpeModel:
+    """The model as it was after its first ``n`` merges; the tokens of later ones are left out."""
+    later = {left + right for left, right in model.merges[n:]} - {left + right for left, right in model.merges[:n]}
+    return BpeModel({token: i for token, i in model.vocab.items() if token not in later}, model.merges[:n])
+
+
 def save_model(model: BpeModel, spark: SparkSession, path: str) -> None:
     vocab, merges = model.to_frames(spark)
     vocab.write.mode("overwrite").parquet(f"{path}/vocab")

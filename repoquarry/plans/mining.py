@@ -76,7 +76,7 @@ def mine_folders(
     entries = tree.scan(spark, trees)
     listing = tree.files_of(entries)
     sources, _ = materialize(tree.measure_sources(listing, trees), "sources")
-    commits = commit_log.read_commits(spark, commit_logs, log_names[0])
+    commits, _ = materialize(commit_log.read_commits(spark, commit_logs, log_names[0]), "commits")  # parsed once
     changes = ho.change_rows(recent, keep=["seq"])
     counts = renamed_change_counts(changes, [F.col("seq")]) if follow_renames else None
     return mine(listing, sources, commits, recent.drop("changes"), changes.drop("seq"), tree.folders_of(entries), counts)

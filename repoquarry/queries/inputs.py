@@ -127,6 +127,7 @@ def untidy_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- the same in SQL ------------------------------------------------------------------------------
 
+# White space, word alternatives and the languages of file suffixes, as in functions/text.py and paths.py.
 SPACE = r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WORDS = (
     r"[A-Za-z_][A-Za-z0-9_]*|\p{Nd}+(?:\.\p{Nd}+)?|==|!=|<=|>=|->|=>|::|&&|\|\||[^" + SPACE + "]"

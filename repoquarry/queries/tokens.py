@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +16,12 @@ from repoquarry.operators import token_vectors as tv
 from repoquarry.operators import vocabulary as vo
 from repoquarry.plans import tokenization
 from repoquarry.queries import inputs as q
-from repoquarry.session import materialize
+from repoquarry.session import application_folder, materialize
 
 FREQUENT = 5  # occurrences from which a word takes part where all frequent words are compared
 NUDGED = 1_100  # a selection of more than one block
 CANDIDATE_PAIRS, SEQUENCE_LENGTH = 64, 4
+SMALL_VOCABULARY, MERGES = 320, 40  # of a model that SQL can follow merge by merge
 
 # An example choice of 20 of the 50 most frequent tokens.
 RANKS = [2, 4, 5, 8, 11, 14, 17, 21, 25, 28, 31, 34, 36, 39, 41, 43, 45, 47, 49, 50]
@@ -149,6 +150,39 @@ def bpe_train_texts(spark, sf):
     return vocab
 
 
+def _small_model(spark: SparkSession, sf: str) -> bo.BpeModel:
+    """The first merges over all document texts."""
+    return bo.first_merges(bo.train(_texts(spark, sf), SMALL_VOCABULARY), MERGES)
+
+
+def bpe_first_merges(spark, sf):
+    _, merges = _small_model(spark, sf).to_frames(spark)
+    return merges
+
+
+def bpe_first_frequency(spark, sf):
+    """How often each token of a small model occurs in all texts."""
+    return bo.token_frequency(bo.piece_counts(_texts(spark, sf)), _small_model(spark, sf))
+
+
+def bpe_first_encoded(spark, sf):
+    """Every text encoded by a small model."""
+    tokens = bo.with_tokens(q.document_texts(spark, sf), _small_model(spark, sf))
+    return tokens.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.md5(F.array_join("tokens", " ").cast("binary")).alias("tokens_md5"))
+
+
+def bpe_reloaded(spark, sf):
+    """The same by a model that was written and read again."""
+    path = f"{application_folder(spark)}/model-{uuid.uuid4().hex}"
+    bo.save_model(_small_model(spark, sf), spark, path)
+    return bo.token_frequency(bo.piece_counts(_texts(spark, sf)), bo.load_model(spark, path))
+
+
+def tokenizer_comparison_texts(spark, sf):
+    """Characters, words and subwords side by side, over all document texts."""
+    return tokenization.tokenizer_comparison(_texts(spark, sf))[0]
+
+
 def bpe_encode(spark, sf):
     paths = q.page_files(spark, sf)
     model = bo.train(_paths(spark, sf))
@@ -262,6 +296,13 @@ def stage_three(spark, sf):
     return out["top_improvements"]
 
 
+def stage_three_texts(spark, sf):
+    """The whole stage over document texts: its two vocabularies without training."""
+    out = tokenization.tokenize_and_profile(q.document_texts(spark, sf).select(F.col("text").alias("source_code")), SMALL_VOCABULARY)
+    parts = [out[f"{kind}_vocabulary"].withColumn("kind", F.lit(kind)) for kind in ("character", "word")]
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -282,6 +323,11 @@ QUERIES = {
         bpe_sequence_counts,
         bpe_train,
         bpe_train_texts,
+        bpe_first_merges,
+        bpe_first_frequency,
+        bpe_first_encoded,
+        bpe_reloaded,
+        tokenizer_comparison_texts,
         bpe_encode,
         bpe_encoded_text,
         bpe_token_frequency,
@@ -296,6 +342,7 @@ QUERIES = {
         together_improvements,
         together_statistics,
         stage_three,
+        stage_three_texts,
     )
 }
 
@@ -426,7 +473,48 @@ raw_pieces AS (SELECT unnest(regexp_extract_all(t, '{_PIECE}')) AS p FROM marked
 counted AS (SELECT p, count(*) AS n FROM raw_pieces GROUP BY p),
 pieces AS (SELECT {_bytes_sql("p")} AS piece, n FROM counted)"""
 
+
+
+def _merge_by_merge(steps: int, pieces: str, keep: str = "") -> str:
+    """pieces_k after k merges, best_k the pair merged then, known_k the texts of the symbols so far."""
+    out = [pieces, "pieces_0 AS MATERIALIZED (SELECT * FROM pieces)", "known_0 AS (SELECT '' AS symbol, '' AS text WHERE false)"]
+    for k in range(steps):
+        out.append(f"""best_{k} AS MATERIALIZED (
+  SELECT pair, left(pair, 1) AS l, right(pair, 1) AS r FROM (
+    SELECT substr(piece, i, 2) AS pair, sum(n) AS n
+    FROM (SELECT piece, n, unnest(range(1, length(piece))) AS i FROM pieces_{k}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)),
+pieces_{k + 1} AS MATERIALIZED (SELECT {keep}replace(piece, pair, chr({0x1000 + k})) AS piece, n FROM pieces_{k}, best_{k}),
+named_{k} AS MATERIALIZED (
+  SELECT coalesce(a.text, l) AS "left", coalesce(b.text, r) AS "right"
+  FROM best_{k} LEFT JOIN known_{k} a ON a.symbol = l LEFT JOIN known_{k} b ON b.symbol = r),
+known_{k + 1} AS MATERIALIZED (SELECT * FROM known_{k} UNION ALL SELECT chr({0x1000 + k}), "left" || "right" FROM named_{k})""")
+    return ",\n".join(out)
+
+
+_MERGED = _merge_by_merge(MERGES, _PIECES)
+_PIECES_OF_DOCUMENTS = f"""marked AS (
+  SELECT doc_id, regexp_replace(text, '([{_WS}])([^{_WS}])', chr(1) || '\\1\\2', 'g') AS t FROM documents),
+lists AS (SELECT doc_id, regexp_extract_all(t, '{_PIECE}') AS ps FROM marked),
+raw_pieces AS (SELECT doc_id, unnest(ps) AS p, unnest(range(len(ps))) AS i FROM lists),
+counted AS (SELECT p, count(*) AS n FROM raw_pieces GROUP BY p),
+pieces AS (SELECT p, {_bytes_sql("p")} AS piece, n FROM counted)"""
+_BPE_FREQUENCY = f"""WITH {_MERGED},
+symbols AS (SELECT unnest(string_split(piece, '')) AS symbol, n FROM pieces_{MERGES})
+SELECT coalesce(text, symbol) AS token, CAST(sum(n) AS BIGINT) AS frequency
+FROM symbols LEFT JOIN known_{MERGES} USING (symbol) GROUP BY 1"""
+
 ORACLE = {
+    "bpe_first_merges": f"WITH {_MERGED} "
+    + " UNION ALL ".join(f'SELECT {k}::INTEGER AS rank, "left", "right" FROM named_{k}' for k in range(MERGES)),
+    "bpe_first_frequency": _BPE_FREQUENCY,
+    "bpe_reloaded": _BPE_FREQUENCY,
+    "bpe_first_encoded": f"""WITH {_merge_by_merge(MERGES, _PIECES_OF_DOCUMENTS, "p, ")},
+spelled AS (
+  SELECT p, list_transform(string_split(piece, ''), lambda s: coalesce(names[s], s)) AS tokens
+  FROM pieces_{MERGES}, (SELECT map(list(symbol), list(text)) AS names FROM known_{MERGES}))
+SELECT d.doc_id, coalesce(CAST(sum(len(tokens)) AS BIGINT), 0) AS n_tokens,
+  md5(coalesce(string_agg(array_to_string(tokens, ' '), ' ' ORDER BY i), '')) AS tokens_md5
+FROM documents d LEFT JOIN raw_pieces r ON d.doc_id = r.doc_id LEFT JOIN spelled USING (p) GROUP BY d.doc_id""",
     "char_vocab": f"WITH {_CHARS} SELECT * FROM char_rank",
     "word_vocab": f"WITH {q.WORDS_SQL} SELECT token, rank AS token_id, frequency FROM word_rank",
     "char_vocab_first_seen": """WITH placed AS (
@@ -472,6 +560,9 @@ ends AS (
   SELECT idx_1 AS idx, token_1 AS token, character_overlap FROM related
   UNION ALL SELECT idx_2, token_2, character_overlap FROM related)
 SELECT idx, token, count(*) AS related, round(avg(character_overlap), 6) AS average_overlap FROM ends GROUP BY idx, token""",
+    "stage_three_texts": f"""WITH {_CHARS}, {q.WORDS_SQL}
+SELECT 'character' AS kind, token, token_id, frequency FROM char_rank
+UNION ALL SELECT 'word', token, rank, frequency FROM word_rank""",
     "bpe_pieces": f"WITH {_PIECES} SELECT * FROM pieces",
     "bpe_pair_counts": f"""WITH {_PIECES}
 SELECT substr(piece, i, 2) AS pair, CAST(sum(n) AS BIGINT) AS n

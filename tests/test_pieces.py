@@ -199,3 +199,14 @@ def test_model_tables(spark, tmp_path):
 def test_empty_corpus(spark):
     model = pieces.train(frame(spark, [""]).limit(0))
     assert model.merges == [] and list(model.vocab) == pieces.SPECIAL_TOKENS
+
+
+def test_first_merges_are_a_smaller_model(spark):
+    texts = invented_paths(60, 9)
+    model = pieces.train(frame(spark, texts), 150)
+    small = pieces.first_merges(model, 20)
+    tokenizer, merges = library(texts, len(small.vocab))
+    assert small.merges == merges == model.merges[:20] and small.vocab == tokenizer.get_vocab()
+    got = {r.text: r.tokens for r in pieces.with_tokens(frame(spark, texts), small).collect()}
+    assert got == {t: tokenizer.encode(t).tokens for t in texts}
+    assert pieces.first_merges(model, 0).merges == []
