@@ -37,7 +37,7 @@ ROUNDS = 2  # of expected counts
 DISCOUNT = 0.75  # taken from each training word's count for the paths through pieces
 PRIOR = 500.0  # pieces' worth of the vocabulary's weights in the learnt probabilities
 _CELLS = 60_000  # byte positions of words taken together
-_ROWS = 50_000  # texts of a block at most
+_ROWS, _BYTES = 50_000, 16 << 20  # texts of a block, and their bytes, at most
 _HEAD = np.dtype([("id", "<i8"), ("known", "u1"), ("held", "u1"), ("words", "<i8")])
 _BLOCK = "block bigint, word binary, trained bigint, rows binary, times binary"
 
@@ -220,7 +220,7 @@ def word_blocks(docs: DataFrame, doc_id: str, text: str, held: str) -> DataFrame
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for whole in batches:
-            for piece in slices(whole, text):
+            for piece in slices(whole, text, _BYTES):
                 for at in range(0, piece.num_rows, _ROWS):
                     number += 1
                     yield _block(piece.slice(at, _ROWS), doc_id, text, held, number)
@@ -293,7 +293,8 @@ def score_texts(docs: DataFrame, model: str, held: str, doc_id: str = "doc_id",
     """
     spark = docs.sparkSession
     pieces = read_pieces(model)
-    blocks, _ = materialize(word_blocks(docs, doc_id, text, held), "blocks")
+    # read twice: blocks take more room than a second cutting takes time
+    blocks = word_blocks(docs, doc_id, text, held)
     words = blocks.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("trained").alias("trained"))
     words, _ = materialize(words, "words")
     n, v = words.where("trained > 0").agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count("*")).first()
@@ -320,9 +321,12 @@ def score_texts(docs: DataFrame, model: str, held: str, doc_id: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("trained"), pa.array(own / np.log(10))], ["spelling", "count", "own"])
 
     weighed = words.mapInArrow(weigh, "spelling binary, count bigint, own double")
-    met = blocks.where(F.col("word").isNotNull()).join(weighed, F.col("word") == F.col("spelling"))
-    met = met.select("block", F.col("count").alias("count"), "own", "rows", "times")
-    heads = blocks.where(F.col("word").isNull()).select("block", F.lit(-1).cast("bigint").alias("count"), F.lit(0.0).alias("own"), "rows", "times")
+    # heads have keys of their own, which no word equals: words hold no blank
+    key = F.coalesce("word", F.concat(F.lit(" "), F.col("block").cast("string")).cast("binary"))
+    met = blocks.withColumn("key", key).join(weighed, F.col("key") == F.col("spelling"), "left")
+    is_head = F.col("word").isNull()
+    count, own = F.when(is_head, F.lit(-1)).otherwise(F.col("count")), F.when(is_head, F.lit(0.0)).otherwise(F.col("own"))
+    met = met.select("block", count.cast("bigint").alias("count"), own.alias("own"), "rows", "times")
     schema = f"{doc_id} bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     of_end = float(np.log10((ends + 0.5) / scale))
 
@@ -367,5 +371,5 @@ def score_texts(docs: DataFrame, model: str, held: str, doc_id: str = "doc_id",
         if head is not None:
             yield result()
 
-    ordered = met.union(heads).repartition("block").sortWithinPartitions("block", "count")
+    ordered = met.repartition("block").sortWithinPartitions("block", "count")
     return ordered.mapInArrow(sums, schema)
