@@ -151,6 +151,24 @@ def test_overlaps_against_sets(spark, blocks):
     assert degrees == {i: (len(v), pytest.approx(np.mean(v))) for i, v in ends.items()}
 
 
+def test_overlap_degrees_send_each_set_of_characters_once(spark, monkeypatch):
+    """Tokens of the same characters are one row of the blocks, and still related to one another."""
+    sent = []
+    by_block_pair = nudge.by_block_pair
+
+    def counted(vectors, *args, **kwargs):
+        sent.append(vectors.count())
+        return by_block_pair(vectors, *args, **kwargs)
+
+    monkeypatch.setattr(nudge, "by_block_pair", counted)
+    words = [w for n in range(1, 21) for w in ("ab" * n, "xy" * n, "axq" * n)]
+    df = spark.createDataFrame([*enumerate(words), (60, "")], "idx INT, token STRING")
+    rows = {r.token: (r.related, r.average_overlap) for r in nudge.overlap_degrees(df, blocks=2).collect()}
+    assert sent == [4] and "" not in rows and len(rows) == 60
+    assert rows["abab"] == rows["xyxy"] == (39, pytest.approx((19 + 20 * 0.5) / 39))
+    assert rows["axq"] == (59, pytest.approx((19 + 40 * 0.5) / 59))
+
+
 @pytest.mark.parametrize("repositories, part_slots", [(0, 4), (1, 4), (4, 4), (11, 4), (11, 1024)])
 def test_frequency_vectors_in_parts(spark, repositories, part_slots):
     files = [(f"r{i:02d}",) for i in range(repositories) for _ in range(i + 1)] + [(None,)]
