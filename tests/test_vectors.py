@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +170,31 @@ def test_overlap_degrees_send_each_set_of_characters_once(spark, monkeypatch):
     assert rows["axq"] == (59, pytest.approx((19 + 40 * 0.5) / 59))
 
 
+def test_blocks_grow_with_the_table():
+    assert [pairs.few_blocks_for(n, 100) for n in (0, 100, 101, 2_000, 60_000, 600_000)] == [1, 1, 2, 20, 24, 24]
+    assert pairs.few_blocks_for(3_276_800, 100) == 100
+
+
+@pytest.mark.parametrize("own", [True, False])
+def test_tiles_of_a_group(monkeypatch, own):
+    """Each pair of a group lies in one tile, and the best are found over all tiles, ties included."""
+    monkeypatch.setattr(pairs, "TILE", 4)
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-1, 2, (23, 3)).astype(float)
+    block = np.zeros(23, int) if own else np.arange(23) % 2
+    group = pd.DataFrame({"idx": rng.permutation(23), "vec": list(vectors), "_block": block, "_low": 0, "_high": int(not own)})
+    unit, idx = pairs._unit_rows(group["vec"]), group["idx"].to_numpy()
+    met = [(a, b) for a in range(23) for b in range(a + 1, 23) if own or block[a] != block[b]]
+    want = sorted((round(-(unit[a] @ unit[b]), 9) + 0.0, *sorted((idx[a], idx[b]))) for a, b in met)[:7]
+    best, seen = pairs._Best(idx, 7), 0
+    for i, j, tile, diagonal in pairs._tiles(group):
+        a, b = np.triu_indices(len(i), 1) if diagonal else np.nonzero(np.ones(tile.shape))
+        seen += len(a)
+        best.add(np.round(-tile[a, b], 9) + 0.0, i[a], j[b])
+    assert seen == len(met)
+    assert list(zip(best.values, idx[best.i], idx[best.j])) == want
+
+
 @pytest.mark.parametrize("repositories, part_slots", [(0, 4), (1, 4), (4, 4), (11, 4), (11, 1024)])
 def test_frequency_vectors_in_parts(spark, repositories, part_slots):
     files = [(f"r{i:02d}",) for i in range(repositories) for _ in range(i + 1)] + [(None,)]
