@@ -1,6 +1,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -210,3 +211,15 @@ def test_first_merges_are_a_smaller_model(spark):
     got = {r.text: r.tokens for r in pieces.with_tokens(frame(spark, texts), small).collect()}
     assert got == {t: tokenizer.encode(t).tokens for t in texts}
     assert pieces.first_merges(model, 0).merges == []
+
+
+def test_batches_are_encoded_some_pieces_at_once(monkeypatch):
+    """Cuts between pieces, and rows that lie on both sides of a cut, change nothing."""
+    monkeypatch.setattr(pieces, "_PIECES_AT_ONCE", 3)
+    vocab = {c: i for i, c in enumerate("abc")}
+    model = pieces.BpeModel({**vocab, "ab": 3, "abc": 4}, [("a", "b"), ("ab", "c")])
+    rows = [["abc"], [], None, ["ab", "", "cab", "abcab"], ["c"], ["abc", "zz", "a"], []]
+    want = [[model.tokens[t] for p in row or [] for t in model.encode_piece(p)] for row in rows]
+    batch = pa.array([["skipped"], *rows], pa.list_(pa.string()))[1:]
+    assert model.encode_batch(batch).to_pylist() == want
+    assert model.encode_batch(batch[:0]).to_pylist() == []
