@@ -11,12 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repoquarry.functions.text import strip
 from repoquarry.operators.components import connected
-from repoquarry.operators.history import KEYS, change_counts
+from repoquarry.operators.history import KEYS
 from repoquarry.session import materialize
 
 _INSIDE = r"^(.*?)\{(.*?) => (.*?)\}(.*)$"
 _WHOLE = r"^(.*?) => (.*)$"
+ARROW = " => "
 
 
 def _path(*parts: Column) -> Column:
@@ -28,7 +30,8 @@ def rename_ends(path: Column) -> tuple[Column, Column]:
     """Old and new path of a rename; both null for any other path."""
     inside = [F.regexp_extract(path, _INSIDE, i) for i in range(1, 5)]
     front, old, new, back = inside
-    is_inside, is_whole = path.rlike(_INSIDE), path.rlike(_WHOLE)
+    arrow = path.contains(ARROW)  # most paths have none and meet no expression
+    is_inside, is_whole = arrow & path.rlike(_INSIDE), arrow & path.rlike(_WHOLE)
     return (
         F.when(is_inside, _path(front, old, back)).when(is_whole, F.regexp_extract(path, _WHOLE, 1)),
         F.when(is_inside, _path(front, new, back)).when(is_whole, F.regexp_extract(path, _WHOLE, 2)),
@@ -41,27 +44,42 @@ def with_new_paths(changes: DataFrame) -> DataFrame:
     return changes.withColumns({"renamed_from": old, "file_path": F.coalesce(new, F.col("file_path"))})
 
 
-def path_histories(changes: DataFrame, order: Sequence[Column], keys: Sequence[str] = KEYS) -> DataFrame:
-    """(keys, path, file_path): the last name of every path that a rename touches. Runs jobs.
+def _written_paths(changes: DataFrame, order: Sequence[Column], keys: Sequence[str]) -> DataFrame:
+    """(keys, file_path, change_count, place): one row of each path as the log writes it, renames with the place of
+    the newest. Changes are read once; all that follows works on paths. Runs a job."""
+    place = F.when(F.col("file_path").contains(ARROW), F.struct(*order))
+    counted = changes.groupBy(*keys, "file_path").agg(F.count(F.lit(1)).alias("change_count"), F.min(place).alias("place"))
+    return materialize(counted, "written")[0]
 
-    ``order`` puts the newest change first; among renames at one place the smaller new path is the last.
-    """
-    named = with_new_paths(changes).filter("renamed_from IS NOT NULL AND renamed_from != file_path")
+
+def _histories(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    named = with_new_paths(written).filter("renamed_from IS NOT NULL AND renamed_from != file_path")
     old, new = (F.struct(*keys, F.col(c).alias("path")) for c in ("renamed_from", "file_path"))
-    renames, _ = materialize(named.select(old.alias("old"), new.alias("new"), F.struct(*order, "file_path").alias("place")), "renames")
+    renames, _ = materialize(named.select(old.alias("old"), new.alias("new"), F.struct("place", "file_path").alias("place")), "renames")
     files, _ = materialize(connected(renames.select("old", "new").distinct(), "old", "new"), "files")
     newest = renames.groupBy("new").agg(F.min("place").alias("place"))
     last = newest.join(files, F.col("new") == F.col("node")).groupBy("root").agg(F.min_by("new", "place").alias("last"))
     return files.join(last, "root").select("node.*", F.col("last.path").alias("file_path"))
 
 
+def path_histories(changes: DataFrame, order: Sequence[Column], keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, path, file_path): the last name of every path that a rename touches. Runs jobs.
+
+    ``order`` puts the newest change first; among renames at one place the smaller new path is the last.
+    """
+    return _histories(_written_paths(changes, order, keys), keys)
+
+
 def renamed_change_counts(changes: DataFrame, order: Sequence[Column], keys: Sequence[str] = KEYS) -> DataFrame:
     """Changes per file over all its names, under the last one. Runs jobs.
 
-    Paths are counted before they meet their histories, so a path with many changes is one row of the join.
+    Changes are counted per written path before these are taken apart and meet their histories, so a path with many
+    changes is one row of the join.
     """
-    histories = path_histories(changes, order, keys)
-    counts = change_counts(with_new_paths(changes), keys).withColumnRenamed("file_path", "path")
+    written = _written_paths(changes, order, keys)
+    histories = _histories(written, keys)
+    named = with_new_paths(written).withColumn("path", strip(F.col("file_path"))).filter(F.col("path") != "")
+    counts = named.groupBy(*keys, "path").agg(F.sum("change_count").alias("change_count"))
     joined = counts.join(histories, [*keys, "path"], "left")
     name = F.coalesce("file_path", "path").alias("file_path")
     return joined.select(*keys, name, "change_count").groupBy(*keys, "file_path").agg(F.sum("change_count").alias("change_count"))

@@ -104,3 +104,21 @@ def test_no_renames(spark):
     df = spark.createDataFrame([("r", 1, "a.py"), ("r", 2, "a.py")], "repository STRING, seq INT, file_path STRING")
     assert renames.path_histories(df, [F.col("seq")]).count() == 0
     assert [r.change_count for r in renames.renamed_change_counts(df, [F.col("seq")]).collect()] == [2]
+
+
+def test_paths_are_taken_apart_once_each(spark, monkeypatch):
+    """Changes are counted as they are written before any path is read, with nulls, blanks and copies of rows."""
+    sizes = []
+    taken_apart = renames.with_new_paths
+
+    def counted(changes):
+        sizes.append(changes.count())
+        return taken_apart(changes)
+
+    monkeypatch.setattr(renames, "with_new_paths", counted)
+    paths = ["a => b"] * 40 + ["b"] * 30 + [" b "] * 20 + ["b => c"] * 2 + [None, "", " "]
+    rows = [("r", n, p) for n, p in enumerate(paths)] + [(None, 0, "b")]
+    df = spark.createDataFrame(rows, "repository STRING, seq INT, file_path STRING").repartition(3)
+    got = {(r.repository, r.file_path): r.change_count for r in renames.renamed_change_counts(df, [F.col("seq")]).collect()}
+    assert got == {("r", "b"): 92, (None, "b"): 1}  # the newest rename, a => b, gives the last name
+    assert sizes == [8, 8]
