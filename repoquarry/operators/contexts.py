@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,8 @@ from repoquarry.operators.token_vectors import VECTOR_SIZE, hash_vector
 # Fixed value: neighbours taken on either side.
 CONTEXT_WINDOW = 2
 
-_CACHED_VECTORS = 1 << 16
+_CACHED_VECTORS = 1 << 16  # of a generation; two are kept
+_CONTEXTS_AT_ONCE = 1_024  # their vectors stay in a processor's cache
 
 
 def _found(tokens: str, selected: Sequence[str], window: int) -> Column:
@@ -68,56 +70,73 @@ def require_contexts(contexts: DataFrame) -> DataFrame:
 
 
 class _RoleVectors:
-    """Hashed vectors of tokens under their roles, remembered up to a fixed number."""
+    """Hashed vectors of tokens under their roles, remembered up to a fixed number.
 
-    def __init__(self, size: int):
-        self.size = size
+    Of the vectors that were looked up last one generation is kept when the next one begins, so that frequent tokens stay.
+    """
+
+    def __init__(self, size: int, most: int = _CACHED_VECTORS):
+        self.size, self.most = size, most
         self.known: dict[str, np.ndarray] = {}
+        self.before: dict[str, np.ndarray] = {}
 
     def _vector(self, key: str) -> np.ndarray:
         vector = self.known.get(key)
         if vector is None:
-            if len(self.known) >= _CACHED_VECTORS:
-                self.known.clear()
-            vector = self.known[key] = hash_vector(key, self.size)
+            if len(self.known) >= self.most:
+                self.known, self.before = {}, self.known
+            vector = self.before.get(key)
+            if vector is None:
+                vector = hash_vector(key, self.size)
+            self.known[key] = vector
         return vector
 
-    def rows(self, role: str, tokens: pa.Array) -> np.ndarray:
-        """One vector per token; each different token of the batch is looked up once."""
+    def coded(self, role: str, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors of the different tokens, each looked up once, and the row of every token."""
         coded = tokens.dictionary_encode()
         table = [self._vector(f"{role}::{t}") for t in coded.dictionary.to_pylist()]
-        return np.array(table).reshape(-1, self.size)[coded.indices.to_numpy(zero_copy_only=False)]
+        return np.array(table).reshape(-1, self.size), coded.indices.to_numpy(zero_copy_only=False)
+
+
+@lru_cache(maxsize=1)
+def _role_vectors(size: int) -> _RoleVectors:
+    """One for all tasks of a worker, so that a vector is not made again by each of them."""
+    return _RoleVectors(size)
+
 
-    def sums(self, role: str, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-        """Sum of the vectors of each list, and the lists' lengths."""
-        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        vectors = self.rows(role, lists.flatten())
-        first = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        total = np.zeros((len(lengths), self.size))
-        for k in range(lengths.max(initial=0)):
-            longer = lengths > k
-            total[longer] += vectors[first[longer] + k]
-        return total, lengths
+def _places(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each list in the flattened array, and its length."""
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(lengths)])[:-1], lengths
 
 
 def _partial_sums(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roles = _RoleVectors(size)
+        roles = _role_vectors(size)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, n_left = roles.sums("LEFT", batch.column("left"))
-            right, n_right = roles.sums("RIGHT", batch.column("right"))
-            center = batch.column("token")
-            vectors = (roles.rows("CENTER", center) + left + right) / (1 + n_left + n_right)[:, None]
-            length = np.linalg.norm(vectors, axis=1)
-            vectors /= np.where(length > 0, length, 1.0)[:, None]
-            coded = center.dictionary_encode()
-            which = coded.indices.to_numpy(zero_copy_only=False)
-            for i, token in enumerate(coded.dictionary.to_pylist()):
-                sums.setdefault(token, np.zeros(size))
-                sums[token] += vectors[which == i].sum(axis=0)
+            center, which = roles.coded("CENTER", batch.column("token"))
+            sides = [(*roles.coded(role, batch.column(c).flatten()), *_places(batch.column(c))) for role, c in (("LEFT", "left"), ("RIGHT", "right"))]
+            tokens = batch.column("token").dictionary_encode().dictionary.to_pylist()
+            total = np.zeros((len(tokens), size))
+            for a in range(0, batch.num_rows, _CONTEXTS_AT_ONCE):
+                own = which[a : a + _CONTEXTS_AT_ONCE]
+                vectors = center[own]
+                for table, rows, first, lengths in sides:
+                    start, length = first[a : a + len(own)], lengths[a : a + len(own)]
+                    summed = np.zeros_like(vectors)
+                    for k in range(length.max(initial=0)):
+                        longer = np.flatnonzero(length > k)
+                        summed[longer] += table[rows[start[longer] + k]]
+                    vectors += summed
+                vectors /= np.sqrt(np.einsum("ij,ij->i", vectors, vectors)).clip(1e-300)[:, None]
+                order = np.argsort(own, kind="stable")
+                found, at = np.unique(own[order], return_index=True)
+                total[found] += np.add.reduceat(vectors[order], at, axis=0)
+            for token, part in zip(tokens, total, strict=True):
+                sums[token] = sums[token] + part if token in sums else part
         if sums:
             yield pa.RecordBatch.from_pydict(
                 {"token": pa.array(list(sums)), "part": pa.array([v.tolist() for v in sums.values()])}

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from repoquarry.operators import contexts, pieces, skipgram, vocabulary
@@ -148,3 +149,17 @@ def test_stages_three_and_four(spark):
     sequences = pieces.with_path_tokens(files, out["model"])
     assert "\\" not in "".join(t for r in sequences.collect() for t in r.tokens)
     assert vocabulary.token_profile(sequences).count() > 8
+
+
+def test_vectors_of_frequent_tokens_stay_remembered(monkeypatch):
+    """A full memory forgets what was not looked up for a generation, not the tokens in use."""
+    made = []
+    real = contexts.hash_vector
+    monkeypatch.setattr(contexts, "hash_vector", lambda key, size: made.append(key) or real(key, size))
+    roles = contexts._RoleVectors(4, 10)
+    for i in range(200):
+        roles.coded("LEFT", pa.array(["the", f"rare{i}", "the"]))
+    assert made.count("LEFT::the") == 1 and len(made) == 201
+    assert len(roles.known) + len(roles.before) <= 20
+    table, rows = roles.coded("LEFT", pa.array(["the", "x", "the"]))
+    assert (table[rows] == [real(f"LEFT::{t}", 4) for t in ("the", "x", "the")]).all()
