@@ -182,3 +182,39 @@ def test_recall_on_a_skewed_table(spark):
     print(f"found {found} of {len(near)} links")
     assert len(near) > 200 and found >= 0.95 * len(near)
     assert removed <= {2 * i + 1 for i in near} | {2 * i for i in near}
+
+
+@pytest.mark.parametrize("slice_characters", [1 << 24, 20_000])
+def test_every_link_of_a_skewed_table(spark, monkeypatch, slice_characters):
+    """The same with lines that barely reach the threshold: none is left out, in one share of neighbours or in several."""
+    monkeypatch.setattr(lines, "SLICE_CHARACTERS", slice_characters, raising=False)
+    rng = random.Random(11)
+    template = " ".join(words(rng, 14, "abcdefghijklmnop"))
+    rows = []
+    for i in range(500):
+        own = " ".join(words(rng, 12, "abcdefghijklmnop"))
+        line, near = f"{template} {own}", ""
+        # cut from the end as far as the threshold allows
+        n = len({line[j : j + lines.SHINGLE] for j in range(len(line) - lines.SHINGLE + 1)})
+        for cut in range(n // 4, 0, -1):
+            near = line[:-cut].strip()
+            if n - cut >= lines.THRESHOLD * n:
+                break
+        rows += [(2 * i, line), (2 * i + 1, near)]
+    sets = [{t[j : j + lines.SHINGLE] for j in range(len(t) - lines.SHINGLE + 1)} for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= lines.THRESHOLD * len(a | sets[j]) - 1e-9:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["removed"][0]["kept_id"] for r in lines.dedup_lines(df).where("n_removed > 0").collect()}
+    assert got == {i: find(i) for i in range(len(rows)) if find(i) != i}
+    assert len(got) > 300
