@@ -223,3 +223,36 @@ def test_batches_are_encoded_some_pieces_at_once(monkeypatch):
     batch = pa.array([["skipped"], *rows], pa.list_(pa.string()))[1:]
     assert model.encode_batch(batch).to_pylist() == want
     assert model.encode_batch(batch[:0]).to_pylist() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.text(alphabet="abc", max_size=20), min_size=1, max_size=12),
+    st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9), st.booleans()), max_size=9),
+)
+def test_pieces_are_rewritten_between_cuts(corpus, drawn):
+    """As by merging whole pieces, also when a symbol comes from several merges."""
+    symbols, merges = list("abc"), {}
+    for a, b, again in drawn:
+        pair = symbols[a % len(symbols)] + symbols[b % len(symbols)]
+        new = symbols[-1] if again and len(symbols) > 3 else chr(0x1000 + len(symbols))
+        if pair not in merges:
+            merges[pair] = new
+            symbols.append(new)
+    table = {pair: (order, new) for order, (pair, new) in enumerate(merges.items())}
+    seams = pieces._keys(pieces._seams(list(merges.items())))
+    known = {}
+    assert pieces._rewritten(corpus, table, seams, known) == [pieces._merged(p, table) for p in corpus]
+    assert all(run in "".join(corpus) and len(run) > 1 for run in known)
+
+
+def test_equal_stretches_are_rewritten_once(monkeypatch):
+    """The work of a round follows the different stretches and not the pieces."""
+    merged, calls = pieces._merged, []
+    monkeypatch.setattr(pieces, "_merged", lambda *a: calls.append(a) or merged(*a))
+    merges = [("ab", "\u1000"), ("\u1000a", "\u1001")]
+    table = {pair: (order, new) for order, (pair, new) in enumerate(merges)}
+    corpus = [f"{x}cabac{y}" for x in "defghij" for y in "defghij"]
+    seams = pieces._keys(pieces._seams(merges))
+    assert pieces._rewritten(corpus, table, seams, {}) == [f"{p[:2]}\u1001{p[5:]}" for p in corpus]
+    assert len(calls) == 1
