@@ -255,6 +255,58 @@ def test_long_lines_hand_in_few_hashes(spark, monkeypatch):
     assert 0 < sum(n for name, n in made if name == "rest") <= 28 * len(texts)
 
 
+def test_lines_that_share_a_passage_are_not_compared(spark, monkeypatch):
+    """Lines of one length that have a third in common make no pairs to verify, and near copies among them are found."""
+    rng, made = random.Random(33), []
+    keep = lines.materialize
+
+    def counted(df, name="stage"):
+        table, path = keep(df, name)
+        made.append((name, table.count()))
+        return table, path
+
+    monkeypatch.setattr(lines, "materialize", counted)
+
+    def word(n):
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+
+    passage = word(200)
+    texts = [f"{word(200)}{passage}{word(200)}|" for _ in range(30)]
+    texts += [f"{t}{word(20)}|" for t in texts[:4]]
+    got = check_lines(spark, list(enumerate(texts)))
+    assert sum(len(x[1]) for x in got.values()) == 4
+    assert sum(n for name, n in made if name == "others") <= 4
+
+
+@pytest.mark.parametrize("common", lines.COMMON)
+def test_handed_in_hashes_of_similar_lines(spark, common):
+    """Lines at the threshold have as many handed-in hashes in common as they need, by all their hashes."""
+    rng = random.Random(common)
+
+    def word(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    pairs = []
+    for n in (5, 20, 60, 200, 900):
+        for text in (word(n + 15), (word(40) * 30)[: n + 15]):
+            cut = n // 5
+            pairs += [(text, text[cut:]), (text, text[: n + 15 - cut])]
+    rows = [(i, side, t) for i, p in enumerate(pairs) for side, t in enumerate(p)]
+    df = spark.createDataFrame(rows, "i int, side int, t string")
+    exact, quick = (lines.smallest(F.col("t"), 0.8, common, x) for x in (True, False))
+    found = df.select("i", "side", "t", exact.alias("e"), quick.alias("q")).select("*", lines.needed(F.col("e.size"), 0.8, common).alias("need")).collect()
+    of = {(r["i"], r["side"]): r for r in found}
+    for r in found:
+        assert r["e"]["size"] == len({r["t"][j : j + 16] for j in range(max(1, len(r["t"]) - 15))})
+        assert set(r["q"]["first"]) >= set(r["e"]["first"]) and r["e"]["first"] == sorted(set(r["e"]["first"]))
+    for i, (a, b) in enumerate(pairs):
+        x, y = ({t[j : j + 16] for j in range(max(1, len(t) - 15))} for t in (a, b))
+        if len(x & y) >= 0.8 * len(x | y) - 1e-9:
+            p, q = of[i, 0], of[i, 1]
+            for kind in "eq":
+                assert len(set(p[kind]["first"]) & set(q[kind]["first"])) >= max(p["need"], q["need"])
+
+
 def test_white_space_around_lines(spark):
     got = check_lines(spark, [(1, "x\r\n\r\n\t\r\n\ty\t\n\f"), (2, "\r\nx\n\t\n y\r\nz \t\n  ")])
     assert got[1] == (2, [], "x\r\n\r\n\t\r\n\ty\t\n\f") and got[2] == (3, [(1, 1, 0), (3, 1, 3)], "\r\n\t\nz \t\n  ")
